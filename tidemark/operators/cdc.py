@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 CHANGE_TYPE = "_change_type"
 INSERT, PREIMAGE, POSTIMAGE, DELETE = "insert", "update_preimage", "update_postimage", "delete"
@@ -16,26 +17,25 @@ def row_digest(df: DataFrame) -> Column:
     return F.xxhash64(*[F.col(c) for c in sorted(df.columns) if not c.startswith("_")])
 
 
-def version_order(df: DataFrame, sequence: Column, is_delete: Column) -> Column:
+def version_order(df: DataFrame, sequence: Column, is_delete: Column) -> list[Column]:
     """A total order of the versions of one key: by sequence, deletes last among equals, then by content."""
-    return F.struct(
-        sequence.alias("sequence"), F.coalesce(is_delete, F.lit(False)).alias("deleted"), row_digest(df).alias("digest")
-    )
+    return [
+        sequence.alias("sequence"),
+        F.coalesce(is_delete, F.lit(False)).alias("deleted"),
+        row_digest(df).alias("digest"),
+    ]
 
 
-def latest_by_key(df: DataFrame, keys: Sequence[str], order: Column) -> DataFrame:
+def latest_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """One row per key, the greatest in ``order``.
 
-    ``max_by`` reduces every input partition before the shuffle, so a key that holds most of the rows sends one row
-    per partition and no task ever sees the whole group.
+    Spark turns the first-row filter into a limit per key before the shuffle, so a key that holds most of the rows
+    sends one row per input partition and no task ever sees the whole group. Unlike ``max_by`` over a struct, a
+    window lets unused columns be pruned from the scan.
     """
-    rest = [c for c in df.columns if c not in keys]
-    return (
-        df.groupBy(*keys)
-        .agg(F.max_by(F.struct(*rest), order).alias("_latest"))
-        .select(*keys, *[F.col("_latest")[c].alias(c) for c in rest])
-        .select(*df.columns)
-    )
+    newest_first = Window.partitionBy(*keys).orderBy(*[c.desc_nulls_last() for c in order])
+    ranked = df.withColumn("_rank", F.row_number().over(newest_first))
+    return ranked.filter(F.col("_rank") == 1).drop("_rank")
 
 
 def scd1_apply(

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.ranking import quantiles
+
 
 def null_counts(df: DataFrame, table: str | None = None) -> DataFrame:
     """NULLs per column, one row per column."""
@@ -39,20 +41,17 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 
 
 def describe(df: DataFrame, column: str) -> DataFrame:
-    """Count, mean, deviation, extremes and interpolated quartiles of the non-NULL values.
-
-    ``percentile`` keeps one counter per distinct value; reduced to cents, an amount has a bounded number of them.
-    """
-    return df.agg(
+    """Count, mean, deviation, extremes and interpolated quartiles of the non-NULL values."""
+    basics = df.agg(
         F.count(column).alias("count"),
         F.avg(column).alias("mean"),
         F.stddev_samp(column).alias("std"),
         F.min(column).alias("min"),
-        F.percentile(column, 0.25).alias("p25"),
-        F.percentile(column, 0.5).alias("p50"),
-        F.percentile(column, 0.75).alias("p75"),
         F.max(column).alias("max"),
-    ).withColumn("column_name", F.lit(column))
+    )
+    both = basics.unionByName(quantiles(df, column, (0.25, 0.5, 0.75)), allowMissingColumns=True)
+    names = ("count", "mean", "std", "min", "p25", "p50", "p75", "max")
+    return both.agg(*[F.max(n).alias(n) for n in names]).withColumn("column_name", F.lit(column))
 
 
 def missing_by_group(df: DataFrame, group: Sequence[str], columns: Sequence[str]) -> DataFrame:

@@ -42,6 +42,48 @@ def _prefix_sum(runs: DataFrame, group: Sequence[str]) -> Column:
     return F.coalesce(F.sum("_n").over(w), F.lit(0))
 
 
+def running_sum(df: DataFrame, order: str, value: str, name: str = "running_sum") -> DataFrame:
+    """Sum of ``value`` over all rows up to and including each row by ``order``, which must be unique.
+
+    Same scheme as :func:`numbered`: ranges add up on their own and start from the totals of the ranges before.
+    """
+    spark = df.sparkSession
+    shared_root(spark)
+    placed = df.repartitionByRange(order).withColumn("_part", F.spark_partition_id()).checkpoint()
+    totals = placed.groupBy("_part").agg(F.sum(value).alias("_n"))
+    before = totals.select("_part", _prefix_sum(totals, ()).alias("_before"))
+    inside = Window.partitionBy("_part").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    local = placed.withColumn("_local", F.sum(value).over(inside))
+    return local.join(before, "_part").select(*df.columns, (F.col("_before") + F.col("_local")).alias(name))
+
+
+def quantiles(df: DataFrame, column: str, probabilities: Sequence[float]) -> DataFrame:
+    """Exact, linearly interpolated quantiles of a column as one row (p25, p50, ..).
+
+    Values are counted first; the value at a rank is then the smallest one whose running count exceeds it. Nothing
+    but one number per rank reaches a single task.
+    """
+    counted = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
+    ranked = running_sum(counted, column, "_n", "_upto")
+    total = F.max("_upto")
+    picks, names = [], []
+    last = ranked.agg(total.alias("n")).first()["n"] or 0
+    for p in probabilities:
+        at = p * (last - 1)
+        low = int(at)
+        name = f"p{round(p * 100)}"
+        names.append((name, at - low))
+        picks.append(F.min(F.when(F.col("_upto") > low, F.col(column))).alias(f"_low_{name}"))
+        picks.append(F.min(F.when(F.col("_upto") > min(low + 1, last - 1), F.col(column))).alias(f"_high_{name}"))
+    found = ranked.agg(*picks)
+    return found.select(
+        *[
+            (F.col(f"_low_{n}") + (F.col(f"_high_{n}") - F.col(f"_low_{n}")) * F.lit(part)).alias(n)
+            for n, part in names
+        ]
+    )
+
+
 def carts(purchases: DataFrame, who: str, at: str, value: str) -> DataFrame:
     """Purchases of one person at most one second apart form one cart.
 

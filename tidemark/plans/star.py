@@ -62,6 +62,13 @@ def gold_sequence() -> Column:
     return sequence_key(COMMIT_TS, PROCESSED)
 
 
+def fact_sequence(is_delete: Column) -> Column:
+    """Orders the versions of a fact; of two equal ones, the one that knows its order comes later."""
+    return F.struct(
+        gold_sequence().alias("at"), is_delete.alias("gone"), F.col("order_sk").isNotNull().alias("resolved")
+    )
+
+
 def feed_is_delete() -> Column:
     """Deletes follow the change type: a feed's delete row repeats the stored row, whose own operation is I or U."""
     return F.col(CHANGE_TYPE).eqNullSafe("delete")

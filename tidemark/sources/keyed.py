@@ -159,8 +159,8 @@ class KeyedTable:
         if not touched:
             return self._publish(state)
         columns = changes.columns
-        order = version_order(changes, sequence, is_delete)
-        incoming = latest_by_key(changes.withColumn("_order", order), self.keys, F.col("_order"))
+        order = F.struct(*version_order(changes, sequence, is_delete))
+        incoming = latest_by_key(changes.withColumn("_order", order), self.keys, [F.col("_order")])
         new = incoming.select(*self.keys, F.struct(*columns).alias("_new"), F.col("_order").alias("_new_order"))
         if state.schema is None:
             merged = self._initial(new, columns)

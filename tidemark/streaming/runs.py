@@ -95,6 +95,7 @@ def gold_stream(
     table: KeyedTable,
     checkpoint: str,
     source: str,
+    sequence: Column | None = None,
 ) -> StreamingQuery:
     """Turn a silver change feed into gold rows and merge them, deletions included.
 
@@ -105,7 +106,7 @@ def gold_stream(
         staged = stage(rows)
         op = F.when(star.feed_is_delete(), "D").otherwise(F.col(OP))
         rows_out = staged.withColumn(OP, op).drop(*star.FEED_COLUMNS)
-        table.merge(rows_out, star.gold_sequence(), silver.is_delete(), source, batch_id)
+        table.merge(rows_out, star.gold_sequence() if sequence is None else sequence, silver.is_delete(), source, batch_id)
 
     return for_each_batch(changes, checkpoint, step)
 
