@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from datetime import datetime
-from functools import partial
+from functools import cache, partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,19 +22,40 @@ _FACT_BUILDERS = {
 }
 
 
-def build_star(silver_rows: Callable[[str], DataFrame], now: datetime | None = None, mode: str = "xxhash64") -> dict[str, DataFrame]:
+class Tables(Mapping):
+    """Tables by name, each planned when it is first asked for."""
+
+    def __init__(self, builders: Mapping[str, Callable[[], DataFrame]]):
+        self._builders = {name: cache(build) for name, build in builders.items()}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self._builders[name]()
+
+    def __iter__(self):
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
+
+
+def build_star(silver_rows: Callable[[str], DataFrame], now: datetime | None = None, mode: str = "xxhash64") -> Tables:
     """All eight gold tables as plans over current silver rows."""
+    rows = cache(silver_rows)
     names = "product_category_name_translation"
-    orders = star.dim_order(silver_rows("orders"), None, now, mode)
-    tables = {
-        "dim_date": star.dim_date(silver_rows("orders"), mode),
-        "dim_customer": star.dim_customer(silver_rows("customers"), now, mode),
-        "dim_seller": star.dim_seller(silver_rows("sellers"), now, mode),
-        "dim_product": star.dim_product(silver_rows("products"), silver_rows(names), now, mode),
-        "dim_order": orders,
-    }
-    for fact, build in _FACT_BUILDERS.items():
-        tables[fact] = build(silver_rows(star.GOLD[fact].source), orders, now, mode)
+
+    def fact(name: str, build: Callable[..., DataFrame]) -> Callable[[], DataFrame]:
+        return lambda: build(rows(star.GOLD[name].source), tables["dim_order"], now, mode)
+
+    tables = Tables(
+        {
+            "dim_date": lambda: star.dim_date(rows("orders"), mode),
+            "dim_customer": lambda: star.dim_customer(rows("customers"), now, mode),
+            "dim_seller": lambda: star.dim_seller(rows("sellers"), now, mode),
+            "dim_product": lambda: star.dim_product(rows("products"), rows(names), now, mode),
+            "dim_order": lambda: star.dim_order(rows("orders"), None, now, mode),
+            **{name: fact(name, build) for name, build in _FACT_BUILDERS.items()},
+        }
+    )
     return tables
 
 

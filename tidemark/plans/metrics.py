@@ -157,9 +157,8 @@ def _aggregate(
 def _attach(rows: DataFrame, dim: DataFrame, edge: Relationship, attributes: list[str], where: str | None) -> DataFrame:
     if where is not None:
         dim = dim.filter(where)
-    key = F.col(edge.dim_key).alias("_dim_key")
     outer = not edge.complete and where is None
-    kept = [c for c in rows.columns if c not in attributes]
-    members = dim.select(key, *attributes)
-    joined = rows.join(members, rows[edge.key] == members["_dim_key"], "left" if outer else "inner")
-    return joined.select(*[rows[c] for c in kept], *[members[a] for a in attributes])
+    members = dim.select(F.col(edge.dim_key).alias("_dim_key"), *[F.col(a).alias(f"_dim_{a}") for a in attributes])
+    joined = rows.join(members, F.col(edge.key) == F.col("_dim_key"), "left" if outer else "inner")
+    kept = [F.col(c) for c in rows.columns if c not in attributes]
+    return joined.select(*kept, *[F.col(f"_dim_{a}").alias(a) for a in attributes])

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.plans import analyses, star
-from tidemark.registry.base import KEY_MODE, current, gold, prepared, register
 from tidemark.operators.cdc import inferred_members
+from tidemark.plans import analyses, star
+from tidemark.registry.base import KEY_MODE, cleaned, current, gold, prepared, register
 
 for _name in star.GOLD:
 
@@ -44,8 +44,6 @@ def _order_keys(name, entity, short, row_key, keys):
 
     @register(name, sql)
     def _(spark, sf):
-        from tidemark.registry.base import cleaned
-
         orders = star.dim_order(current(spark, sf, "orders"), None, None, KEY_MODE)
         return star.join_order_keys(cleaned(spark, sf, entity).select(*row_key), orders, *keys)
 
