@@ -11,6 +11,7 @@ Every stored row says in which version it last changed and how; the rows a versi
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
@@ -37,8 +38,16 @@ class _Version:
 
 
 class KeyedTable:
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], buckets: int = 16):
-        self.spark, self.path, self.keys, self.bucket_count = spark, path.rstrip("/"), list(keys), buckets
+    """``buckets`` is fixed for the life of a table: a few GB each is a good size, in ``files_per_bucket`` files.
+
+    The driver holds one log row per bucket and nothing else.
+    """
+
+    def __init__(
+        self, spark: SparkSession, path: str, keys: Sequence[str], buckets: int = 16, files_per_bucket: int = 1
+    ):
+        self.spark, self.path, self.keys = spark, path.rstrip("/"), list(keys)
+        self.bucket_count, self.files_per_bucket = buckets, files_per_bucket
 
     # -- versions ------------------------------------------------------------------------------------------------
 
@@ -46,12 +55,14 @@ class KeyedTable:
         return self.spark.read.schema(_LOG).json(f"{self.path}/log")
 
     def latest_version(self) -> int:
+        """The newest published version, 0 for a table that does not exist yet; lists the log, reads none of it."""
         try:
-            return self._log().agg(F.max("version")).first()[0] or 0
+            logs = self._log().inputFiles()
         except AnalysisException as error:
             if "PATH_NOT_FOUND" in str(error):
                 return 0
             raise
+        return max((int(re.search(r"/version=(\d+)/", f).group(1)) for f in logs), default=0)
 
     def _load(self, number: int | None = None) -> _Version:
         """The log of one version: at most one row per bucket and per source."""
@@ -97,7 +108,7 @@ class KeyedTable:
     def read_changes(self, start: int, end: int | None = None, preimages: bool = False) -> DataFrame:
         """Row changes of the versions ``start`` to ``end``, both included."""
         last = self._load(end)
-        written = set(self._written(last.number))
+        written = set(self._written(start, last.number))
         parts = []
         for v in range(start, last.number + 1):
             if v not in written:
@@ -112,9 +123,9 @@ class KeyedTable:
             return self._as_feed(self.spark.createDataFrame([], last.schema), self._visible(last))
         return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
-    def _written(self, upto: int) -> list[int]:
-        """Versions up to ``upto`` that hold data of their own and changed it."""
-        log = self._log().filter((F.col("version") <= upto) & (F.col("data_version") == F.col("version")))
+    def _written(self, start: int, end: int) -> list[int]:
+        """The versions in a range that hold data of their own."""
+        log = self._log().filter(F.col("version").between(start, end) & (F.col("data_version") == F.col("version")))
         return [r[0] for r in log.select("version").distinct().collect()]
 
     def change_stream(self, max_files: int | None = None) -> DataFrame:
@@ -168,13 +179,18 @@ class KeyedTable:
             columns = [c for c in self._visible(state)] + [c for c in columns if c not in state.schema.fieldNames()]
             merged = self._merged(self._stored(state, touched), new, columns, state.number)
         state.schema = T.StructType([T.StructField(f.name, f.dataType) for f in merged.schema.fields])
-        target = f"{self.path}/data/v={state.number}"
-        merged.withColumn("bucket", self._bucket()).repartition(len(touched), "bucket").write.mode(
-            "overwrite"
-        ).partitionBy("bucket").parquet(target)
+        self._write(merged, state.number, len(touched))
         state.buckets.update({b: state.number for b in touched})
         return self._publish(state)
 
+    def _write(self, rows: DataFrame, version: int, buckets: int) -> None:
+        """Store rows under their bucket, each bucket in ``files_per_bucket`` tasks of about equal size."""
+        part = F.pmod(F.hash(*self.keys), F.lit(self.files_per_bucket))
+        placed = rows.withColumn("bucket", self._bucket()).repartition(
+            max(1, buckets * self.files_per_bucket), "bucket", part
+        )
+        placed.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/data/v={version}")
+
     def _initial(self, new: DataFrame, columns: list[str]) -> DataFrame:
         deleted = F.col("_new_order.deleted")
         return new.select(
@@ -214,7 +230,7 @@ class KeyedTable:
         past, latest = self._load(version), self._load()
         return self._publish(_Version(latest.number + 1, past.buckets, latest.batches, past.schema))
 
-    def compact(self, files_per_bucket: int = 1, forget_before: Column | None = None) -> int:
+    def compact(self, forget_before: Column | None = None) -> int:
         """Rewrite every bucket into few files; ``forget_before`` also drops tombstones with an older sequence.
 
         Rows keep the version they changed in, so the compaction itself adds nothing to the change feed.
@@ -224,10 +240,7 @@ class KeyedTable:
         if forget_before is not None:
             rows = rows.filter(~F.col("_deleted") | (F.col("_order.sequence") >= forget_before))
         state.number += 1
-        spread = F.pmod(F.xxhash64(*self.keys, F.lit(1)), F.lit(files_per_bucket))
-        rows.withColumn("bucket", self._bucket()).repartition(
-            max(1, len(state.buckets) * files_per_bucket), "bucket", spread
-        ).write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/data/v={state.number}")
+        self._write(rows, state.number, len(state.buckets))
         kept = self.spark.read.parquet(f"{self.path}/data/v={state.number}").select("bucket").distinct().collect()
         state.buckets = {r[0]: state.number for r in kept}
         return self._publish(state)
