@@ -42,8 +42,18 @@ ENVELOPE = T.StructType([T.StructField(OP, T.StringType()), T.StructField(COMMIT
 DAY_PARTS = T.StructType([T.StructField(c, T.IntegerType()) for c in ("year", "month", "day")])
 
 
+_TYPES = {
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "double": T.DoubleType(),
+    "date": T.DateType(),
+    "timestamp_ntz": T.TimestampNTZType(),
+}
+
+
 def _columns(**types: str) -> T.StructType:
-    return T.StructType.fromDDL(", ".join(f"{name} {ddl}" for name, ddl in types.items()))
+    return T.StructType([T.StructField(name, _TYPES[ddl]) for name, ddl in types.items()])
 
 
 @dataclass(frozen=True)
