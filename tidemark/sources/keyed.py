@@ -1,6 +1,6 @@
 """A table with one current row per key, kept in versioned Parquet folders.
 
-    data/v=<version>/bucket=<b>/   the rows of one hash bucket, deleted keys included as tombstones
+    data/_v=<version>/bucket=<b>/   the rows of one hash bucket, deleted keys included as tombstones
     log/version=<version>/         one row per bucket: the data version that holds it
 
 A merge rewrites only the buckets its changes fall into. A version exists once its log folder does, so a failed merge
@@ -92,7 +92,7 @@ class KeyedTable:
         wanted = {b: v for b, v in state.buckets.items() if buckets is None or b in buckets}
         if not wanted:
             return self.spark.createDataFrame([], state.schema)
-        paths = [f"{self.path}/data/v={v}/bucket={b}" for b, v in sorted(wanted.items())]
+        paths = [f"{self.path}/data/_v={v}/_bucket={b}" for b, v in sorted(wanted.items())]
         return self.spark.read.schema(state.schema).parquet(*paths).select(*state.schema.fieldNames())
 
     def _visible(self, state: _Version) -> list[str]:
@@ -113,7 +113,7 @@ class KeyedTable:
         for v in range(start, last.number + 1):
             if v not in written:
                 continue
-            rows = self.spark.read.schema(last.schema).parquet(f"{self.path}/data/v={v}")
+            rows = self.spark.read.schema(last.schema).parquet(f"{self.path}/data/_v={v}")
             feed = self._as_feed(rows.filter(F.col("_row_version") == v), self._visible(last))
             parts.append(feed)
             if preimages and v > 1:
@@ -129,14 +129,17 @@ class KeyedTable:
         return [r[0] for r in log.select("version").distinct().collect()]
 
     def change_stream(self, max_files: int | None = None) -> DataFrame:
-        """The change feed as a stream: each new version adds its changed rows."""
+        """The change feed as a stream: each new version adds its changed rows.
+
+        A merge that failed and ran again may show its rows twice, which a keyed table downstream absorbs.
+        """
         state = self._load()
         reader = self.spark.readStream.schema(
-            T.StructType(state.schema.fields + [T.StructField("v", T.IntegerType()), T.StructField("bucket", T.IntegerType())])
+            T.StructType(state.schema.fields + [T.StructField(c, T.IntegerType()) for c in ("_v", "_bucket")])
         )
         if max_files is not None:
             reader = reader.option("maxFilesPerTrigger", max_files)
-        rows = reader.parquet(f"{self.path}/data").filter(F.col("_row_version") == F.col("v"))
+        rows = reader.parquet(f"{self.path}/data").filter(F.col("_row_version") == F.col("_v"))
         return self._as_feed(rows, self._visible(state))
 
     @staticmethod
@@ -186,10 +189,10 @@ class KeyedTable:
     def _write(self, rows: DataFrame, version: int, buckets: int) -> None:
         """Store rows under their bucket, each bucket in ``files_per_bucket`` tasks of about equal size."""
         part = F.pmod(F.hash(*self.keys), F.lit(self.files_per_bucket))
-        placed = rows.withColumn("bucket", self._bucket()).repartition(
-            max(1, buckets * self.files_per_bucket), "bucket", part
+        placed = rows.withColumn("_bucket", self._bucket()).repartition(
+            max(1, buckets * self.files_per_bucket), "_bucket", part
         )
-        placed.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/data/v={version}")
+        placed.write.mode("overwrite").partitionBy("_bucket").parquet(f"{self.path}/data/_v={version}")
 
     def _initial(self, new: DataFrame, columns: list[str]) -> DataFrame:
         deleted = F.col("_new_order.deleted")
@@ -241,6 +244,6 @@ class KeyedTable:
             rows = rows.filter(~F.col("_deleted") | (F.col("_order.sequence") >= forget_before))
         state.number += 1
         self._write(rows, state.number, len(state.buckets))
-        kept = self.spark.read.parquet(f"{self.path}/data/v={state.number}").select("bucket").distinct().collect()
+        kept = self.spark.read.parquet(f"{self.path}/data/_v={state.number}").select("_bucket").distinct().collect()
         state.buckets = {r[0]: state.number for r in kept}
         return self._publish(state)
