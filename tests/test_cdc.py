@@ -28,7 +28,7 @@ changes_strategy = st.lists(
 ).map(lambda rows: [(k, i, op, v) for i, (k, op, v) in enumerate(rows)])
 
 
-@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(changes=changes_strategy, seed=st.integers(0, 99), cuts=st.integers(1, 3))
 def test_state_does_not_depend_on_arrival(spark, tmp_path_factory, changes, seed, cuts):
     mixed = changes[:]

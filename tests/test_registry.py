@@ -28,7 +28,7 @@ SOME = (
     "describe",
     "read_changes",
     "scd1_out_of_order",
-    "triggered_run",
+    "funnel_join",
 )
 NAMES = tuple(REGISTRY) if os.environ.get("TIDEMARK_ALL_QUERIES") else SOME
 

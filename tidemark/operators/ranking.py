@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tidemark.operators.joins import broadcast_if_small
 from tidemark.session import shared_root
 
 
@@ -16,7 +17,7 @@ def numbered(df: DataFrame, order: Sequence[str], group: Sequence[str] = (), nam
 
     Rows are range-partitioned on group and order together, so a group of any size spreads over many tasks. Each
     partition numbers its own rows; the start of a group inside a partition comes from the counts of the partitions
-    before it, a table of at most (partitions + groups) rows.
+    before it, a table of at most (partitions + groups) rows that is broadcast while it is small.
     """
     spark = df.sparkSession
     shared_root(spark)
@@ -30,7 +31,7 @@ def numbered(df: DataFrame, order: Sequence[str], group: Sequence[str] = (), nam
     match = [F.col(f"_c.{c}").eqNullSafe(F.col(f"_r.{c}")) for c in group] + [F.col("_c._part") == F.col("_r._part")]
     runs = placed.groupBy(*group, "_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
     runs = runs.select(*group, "_part", "_first", (_prefix_sum(runs, group)).alias("_before"))
-    joined = placed.alias("_r").join(runs.alias("_c"), match, "left")
+    joined = placed.alias("_r").join(broadcast_if_small(runs.checkpoint()).alias("_c"), match, "left")
     return joined.select(
         *[F.col(f"_r.{c}").alias(c) for c in df.columns],
         (F.col("_before") + F.col("_at") - F.col("_first") + 1).alias(name),
@@ -54,7 +55,7 @@ def running_sum(df: DataFrame, order: str, value: str, name: str = "running_sum"
     before = totals.select("_part", _prefix_sum(totals, ()).alias("_before"))
     inside = Window.partitionBy("_part").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     local = placed.withColumn("_local", F.sum(value).over(inside))
-    return local.join(before, "_part").select(*df.columns, (F.col("_before") + F.col("_local")).alias(name))
+    return local.join(broadcast_if_small(before.checkpoint()), "_part").select(*df.columns, (F.col("_before") + F.col("_local")).alias(name))
 
 
 def quantiles(df: DataFrame, column: str, probabilities: Sequence[float]) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidemark.functions.columns import money
+from tidemark.operators.joins import splittable_join
 from tidemark.operators.profiling import missing_by_group
 from tidemark.operators.ranking import carts
 from tidemark.plans.metrics import RELATIONSHIPS, Star, measure
@@ -32,8 +33,8 @@ def star_rows(star: Star, fact: str, columns: dict[str, tuple[str, ...]]) -> Dat
 
 
 def orders_without(orders: DataFrame, other: DataFrame) -> DataFrame:
-    """Orders that have no row in the other table."""
-    return orders.join(other.select("order_id"), "order_id", "left_anti")
+    """Orders that have no row in the other table, whose order ids are made distinct before they move."""
+    return orders.join(other.select("order_id").distinct(), "order_id", "left_anti")
 
 
 def missing_rate(orders: DataFrame, other: DataFrame) -> DataFrame:
@@ -46,16 +47,14 @@ def missing_rate(orders: DataFrame, other: DataFrame) -> DataFrame:
 
 def funnel(orders: DataFrame, items: DataFrame) -> DataFrame:
     """Every order with its items, orders without items included."""
-    return orders.select("order_id", "order_status").join(
-        items.select("order_id", "order_item_id", "price", "freight_value"), "order_id", "left"
-    )
+    sold = items.select("order_id", "order_item_id", "price", "freight_value")
+    return splittable_join(sold, orders.select("order_id", "order_status"), "order_id", "right")
 
 
 def revenue_rows(orders: DataFrame, items: DataFrame) -> DataFrame:
     """Sold items with the status and day of their order."""
-    return orders.select("order_id", "order_status", "purchase_date").join(
-        items.select("order_id", "order_item_id", "price", "freight_value"), "order_id"
-    )
+    sold = items.select("order_id", "order_item_id", "price", "freight_value")
+    return splittable_join(sold, orders.select("order_id", "order_status", "purchase_date"), "order_id")
 
 
 # -- dashboard ----------------------------------------------------------------------------------------------------

@@ -23,6 +23,7 @@ from tidemark.functions.commerce import (
 )
 from tidemark.functions.keys import surrogate_key
 from tidemark.operators.cdc import CHANGE_TYPE, PREIMAGE
+from tidemark.operators.joins import splittable_join
 from tidemark.plans.silver import PROCESSED
 
 GOLD_PROCESSED = "_gold_processed_at"
@@ -123,7 +124,7 @@ def join_translation(products: DataFrame, translations: DataFrame) -> DataFrame:
     The translations come from a stored table, so Spark broadcasts them as long as that table is small.
     """
     names = translations.select("product_category_name", "product_category_name_english")
-    return products.join(names, "product_category_name", "left")
+    return splittable_join(products, names, "product_category_name", "left")
 
 
 def dim_product(
@@ -186,7 +187,7 @@ def dim_order(
 
 def join_order_keys(rows: DataFrame, orders: DataFrame, *keys: str) -> DataFrame:
     """Rows of any fact with keys of their order, NULL where the order is not known."""
-    return rows.join(orders.select("order_id", *keys), "order_id", "left")
+    return splittable_join(rows, orders.select("order_id", *keys), "order_id", "left")
 
 
 def fact_order_items(
