@@ -95,3 +95,20 @@ def test_csv_dates_and_quotes(spark, tmp_path):
     r = files.read_entity_csv(spark, str(path), "reviews").first()
     assert r.review_comment_message == 'good, "very" good\nindeed' and r.review_comment_title is None
     assert r.review_answer_timestamp == datetime(2018, 1, 18, 21, 46, 59)
+
+
+def test_clustered_files_cover_separate_ranges(spark, tmp_path):
+    path = str(tmp_path / "clustered")
+    files.write_clustered(spark.range(0, 10_000).selectExpr("hash(id) as k", "id"), path, ["k"], files=4)
+    ranges = sorted((r.low, r.high) for r in files.file_ranges(spark, path, "k").collect())
+    assert len(ranges) > 1
+    assert all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:]))
+
+
+def test_partitioned_layout_prunes(spark, tmp_path):
+    path = str(tmp_path / "by-state")
+    df = spark.createDataFrame([("a", "SP"), ("b", "RJ"), ("c", "SP")], "customer_id string, customer_state string")
+    files.write_partitioned(df, path, ["customer_state"])
+    back = spark.read.parquet(path).filter("customer_state = 'SP'")
+    assert as_set(back, "customer_id") == {("a",), ("c",)}
+    assert "PartitionFilters: [isnotnull(customer_state" in back._jdf.queryExecution().executedPlan().toString()

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tests.helpers import as_set, item, order, rows, ts
 from tidemark.entities import ENTITIES
 from tidemark.plans.medallion import Warehouse
-from tidemark.sources.landing import read_landing, write_landing
+from tidemark.sources.landing import added_columns, read_landing, write_landing
 from tidemark.streaming import runs
 
 NOW = datetime(2024, 5, 6, 7, 8, 9)
@@ -113,3 +113,25 @@ def test_landing_folders_prune(spark, house):
     plan = one_day._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(year" in plan
     assert as_set(one_day, "order_id") == {("y",)}
+
+
+def test_a_new_column_reaches_silver(spark, tmp_path):
+    root = str(tmp_path)
+    house = Warehouse(spark, f"{root}/tables", buckets=1)
+    land(spark, f"{root}/landing", orders=[order("a")])
+    later = rows(spark, "orders", order("b", at="2018-08-06 00:00:00")).drop("_ingested_at")
+    for evolve in (False, True):
+        if evolve:
+            write_landing(later.withColumn("channel", F.lit("app")), f"{root}/landing", "orders", FIRST)
+        added = {"orders": added_columns(spark, f"{root}/landing", "orders")}
+        house.run_bronze(f"{root}/landing", NOW, added)
+        house.run_silver(NOW, added)
+    got = house.silver_table("orders").read()
+    assert as_set(got, "order_id", "channel") == {("a", None), ("b", "app")}
+    assert got.filter("_source_file_path like '%/day=6/%'").count() == 1
+
+
+def test_published_tables_are_clustered(spark, house, tmp_path):
+    house.publish(str(tmp_path / "gold"))
+    for name, df in house.star().items():
+        assert spark.read.parquet(str(tmp_path / "gold" / name)).count() == df.count()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime
 from functools import cache, partial
 
@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.entities import ENTITIES
 from tidemark.plans import silver, star
+from tidemark.sources.files import write_clustered
 from tidemark.sources.keyed import KeyedTable
+from tidemark.sources.landing import added_columns
 from tidemark.streaming import runs
 
 DIMENSIONS = ("dim_customer", "dim_seller", "dim_product", "dim_order")
@@ -75,28 +77,41 @@ class Warehouse:
         return f"{self.root}/checkpoints/{step}"
 
     def run(
-        self, landing: str, now: datetime | None = None, entities: Mapping | tuple = tuple(ENTITIES), max_files: int | None = None
+        self,
+        landing: str,
+        now: datetime | None = None,
+        entities: Sequence[str] = tuple(ENTITIES),
+        max_files: int | None = None,
+        evolve: bool = False,
     ) -> None:
-        """Process all landing files that no earlier run has seen, through to the star schema."""
-        self.run_bronze(landing, now, entities, max_files)
-        self.run_silver(now, entities)
+        """Process all landing files that no earlier run has seen, through to the star schema.
+
+        With ``evolve``, columns that appeared upstream are taken along into bronze and silver.
+        """
+        added = {e: added_columns(self.spark, landing, e) if evolve else () for e in entities}
+        self.run_bronze(landing, now, added, max_files)
+        self.run_silver(now, added, max_files)
         self.run_gold(now)
 
-    def run_bronze(self, landing, now=None, entities=tuple(ENTITIES), max_files=None) -> None:
+    def run_bronze(
+        self, landing: str, now: datetime | None, added: Mapping[str, Sequence], max_files: int | None = None
+    ) -> None:
         bronze = f"{self.root}/bronze"
-        runs.run_all([runs.bronze_append(self.spark, landing, bronze, e, now, max_files) for e in entities])
+        runs.run_all(
+            [runs.bronze_append(self.spark, landing, bronze, e, now, max_files, new) for e, new in added.items()]
+        )
 
-    def run_silver(self, now=None, entities=tuple(ENTITIES), max_files=None) -> None:
+    def run_silver(self, now: datetime | None, added: Mapping[str, Sequence], max_files: int | None = None) -> None:
         started = []
-        for e in entities:
-            stream = runs.read_stream(self.spark, f"{self.root}/bronze", e, max_files)
+        for e, new in added.items():
+            stream = runs.read_stream(self.spark, f"{self.root}/bronze", e, max_files, new)
             bad = f"{self.root}/quarantine/{e}"
             started.append(
                 runs.silver_stream(stream, e, self.silver_table(e), bad, self._checkpoint(f"silver-{e}"), now)
             )
         runs.run_all(started)
 
-    def run_gold(self, now=None) -> None:
+    def run_gold(self, now: datetime | None = None) -> None:
         """Dimensions first, then the facts against one snapshot of the orders, then facts whose order came late."""
         names = self.silver_table("product_category_name_translation").read()
         orders = self.silver_table("orders")
@@ -138,6 +153,11 @@ class Warehouse:
     def quarantine(self, entity: str) -> DataFrame:
         return self.spark.read.option("mergeSchema", True).parquet(f"{self.root}/quarantine/{entity}").drop("batch")
 
+    def publish(self, path: str) -> None:
+        """Store the gold tables as plain files, each clustered by the columns reports filter on."""
+        for name, df in self.star().items():
+            write_clustered(df, f"{path}/{name}", star.GOLD[name].clustered_by)
+
     def star(self) -> dict[str, DataFrame]:
         """The gold tables as they stand."""
         orders = self.silver_table("orders").latest_version()

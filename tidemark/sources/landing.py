@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.entities import COMMIT_TS, DAY_PARTS, ENTITIES, OP
 from tidemark.functions.columns import on_day
@@ -40,9 +42,21 @@ def read_landing(spark: SparkSession, root: str, table: str) -> DataFrame:
     return spark.read.schema(ENTITIES[table].landing_schema).parquet(f"{root}/{table}")
 
 
-def landing_stream(spark: SparkSession, root: str, table: str, max_files: int | None = None) -> DataFrame:
-    """New landing files, each exactly once per checkpoint, in micro-batches of at most ``max_files`` files."""
-    reader = spark.readStream.schema(ENTITIES[table].landing_schema)
+def added_columns(spark: SparkSession, root: str, table: str) -> list[T.StructField]:
+    """Columns that landing files have beyond the declared ones. Reads file footers, so run it once per run."""
+    known = ENTITIES[table].landing_schema.fieldNames()
+    found = spark.read.option("mergeSchema", True).parquet(f"{root}/{table}").schema
+    return [f for f in found.fields if f.name not in known]
+
+
+def landing_stream(
+    spark: SparkSession, root: str, table: str, max_files: int | None = None, added: Sequence[T.StructField] = ()
+) -> DataFrame:
+    """New landing files, each exactly once per checkpoint, in micro-batches of at most ``max_files`` files.
+
+    ``added`` columns are read too; files written before a column existed give NULL.
+    """
+    reader = spark.readStream.schema(T.StructType([*ENTITIES[table].landing_schema.fields, *added]))
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.parquet(f"{root}/{table}")

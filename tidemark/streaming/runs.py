@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,25 +32,33 @@ def for_each_batch(stream: DataFrame, checkpoint: str, step: Callable[[DataFrame
 
 
 def bronze_append(
-    spark: SparkSession, landing: str, bronze: str, table: str, now: datetime | None = None, max_files: int | None = None
+    spark: SparkSession,
+    landing: str,
+    bronze: str,
+    table: str,
+    now: datetime | None = None,
+    max_files: int | None = None,
+    added: Sequence[T.StructField] = (),
 ) -> StreamingQuery:
     """Raw append table of one entity by day folder, with time of receipt and file of origin; no shuffle."""
-    rows = bronze_metadata(source_lineage(landing_stream(spark, landing, table, max_files)), now)
+    rows = bronze_metadata(source_lineage(landing_stream(spark, landing, table, max_files, added)), now)
     return append(rows, f"{bronze}/{table}", f"{bronze}/_checkpoints/{table}", DAY)
 
 
-def bronze_schema(table: str) -> T.StructType:
+def bronze_schema(table: str, added: Sequence[T.StructField] = ()) -> T.StructType:
     extra = [T.StructField(RECEIVED, T.TimestampNTZType()), T.StructField(ORIGIN, T.StringType())]
-    return T.StructType(ENTITIES[table].change_schema.fields + extra + DAY_PARTS.fields)
+    return T.StructType([*ENTITIES[table].change_schema.fields, *added, *extra, *DAY_PARTS.fields])
 
 
-def read_bronze(spark: SparkSession, bronze: str, table: str) -> DataFrame:
-    return spark.read.schema(bronze_schema(table)).parquet(f"{bronze}/{table}")
+def read_bronze(spark: SparkSession, bronze: str, table: str, added: Sequence[T.StructField] = ()) -> DataFrame:
+    return spark.read.schema(bronze_schema(table, added)).parquet(f"{bronze}/{table}")
 
 
-def read_stream(spark: SparkSession, bronze: str, table: str, max_files: int | None = None) -> DataFrame:
+def read_stream(
+    spark: SparkSession, bronze: str, table: str, max_files: int | None = None, added: Sequence[T.StructField] = ()
+) -> DataFrame:
     """An append table as a stream; every consumer keeps its own position in its checkpoint."""
-    reader = spark.readStream.schema(bronze_schema(table))
+    reader = spark.readStream.schema(bronze_schema(table, added))
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.parquet(f"{bronze}/{table}")
@@ -81,7 +89,7 @@ def silver_stream(
     """
 
     def step(rows: DataFrame, batch_id: int) -> None:
-        marked = silver.tagged(rows.drop(*DAY, ORIGIN), entity, **options)
+        marked = silver.tagged(rows.drop(*DAY), entity, **options)
         bad = silver.quarantine_part(marked, entity, now)
         bad.write.mode("overwrite").partitionBy("_quarantine_date").parquet(f"{quarantine_path}/batch={batch_id}")
         table.merge(silver.clean_part(marked, now), silver.silver_sequence(), silver.is_delete(), entity, batch_id)
