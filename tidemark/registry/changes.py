@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from tidemark.entities import COMMIT_TS, ENTITIES, OP
 from tidemark.operators import changelog
 from tidemark.operators.cdc import (
-    CHANGE_TYPE,
     apply_feed,
     change_feed,
     drop_preimages,
