@@ -15,6 +15,8 @@ from tidemark.llm.store import bitmap, stored
 
 #: Words of a shingle and the similarity, in percent, from which two documents link.
 WIDTH, PERCENT = 5, 80
+#: Prefixes are this many percent of a set longer than needed to share one shingle, so partners share as many more.
+SLACK = 6
 _SKETCH = 1 << 20
 
 
@@ -52,6 +54,11 @@ def _common(docs: DataFrame, width: int):
     return docs.sparkSession.sparkContext.broadcast(classes)
 
 
+def _surplus(n: int) -> int:
+    """How many shingles of two partners' prefixes are common at least, if the smaller has ``n``."""
+    return 1 + n * SLACK // 100
+
+
 def _signature(common, width: int, percent: int):
     kind = "struct<n:long, sig:binary, mark:long, lead:binary, prefix:array<long>>"
 
@@ -61,7 +68,7 @@ def _signature(common, width: int, percent: int):
         for found in shingle_sets(texts, width):
             n = len(found)
             token = found >> np.uint64(8) | common.value[(found & np.uint64(_SKETCH - 1)).astype(np.int64)] << np.uint64(56)
-            needed = n - -(-percent * n // 100) + 1 if n else 0
+            needed = n - -(-percent * n // 100) + _surplus(n) if n else 0
             prefix = np.sort(np.partition(token, needed - 1)[:needed]) if needed else token
             one, two = words.mix(found).sum(dtype=np.uint64), words.mix(~found).sum(dtype=np.uint64)
             sizes.append(n)
@@ -128,9 +135,9 @@ def similar_documents(docs: DataFrame, width: int = WIDTH, percent: int = PERCEN
     """``doc_id, n_shingles, component_id`` for every row of ``docs`` (doc_id, text, any others).
 
     1. One scan finds heavily used shingles, a second orders every document's shingles, rare first, and stores size, signature and
-       the prefix that a partner must share a shingle with.
+       the prefix that a partner must share some shingles with.
     2. Shingles in the prefixes of two different sets are the shared ones. Only they go further, found through a bitmap
-       of bounded size. Documents with the same prefix and size form one group.
+       of bounded size, and only documents with as many of them as a partner must share: a common passage is not enough. Documents with the same prefix and size form one group.
     3. Groups meet in the buckets of their shared shingles; size and position bounds reject pairs of groups. Pairs that pass are
        expanded to members and verified on whole sets (see :mod:`tidemark.llm.linking` for how hot buckets are handled).
 
@@ -145,7 +152,9 @@ def similar_documents(docs: DataFrame, width: int = WIDTH, percent: int = PERCEN
     several = tokens.groupBy("token").agg(F.min("mark").alias("lo"), F.max("mark").alias("hi")).filter("lo <> hi").select("token")
     several = stored(several, "shared")
     bits = bitmap(several, "token", several.count())
-    near = some.select("doc_id", "at", "n", "sig", "lead", _shared(bits)("prefix").alias("tokens")).filter(F.size("tokens") > 0)
+    smallest = F.ceil(F.col("n") * percent / 100)  # of a partner
+    near = some.select("doc_id", "at", "n", "sig", "lead", _shared(bits)("prefix").alias("tokens"))
+    near = near.filter(F.size("tokens") >= 1 + F.floor(smallest * SLACK / 100))
     classes = near.groupBy("sig").agg(*[F.first(c).alias(c) for c in ("at", "n", "lead", "tokens")])
     classes = stored(classes, "classes")
     groups = classes.groupBy("lead").agg(F.min("sig").alias("gid"), F.first("n").alias("n"), F.first("tokens").alias("tokens"))
