@@ -35,7 +35,7 @@ def test_state_does_not_depend_on_arrival(spark, tmp_path_factory, changes, seed
     random.Random(seed).shuffle(mixed)
     once = scd1_apply(spark.createDataFrame(mixed, SCHEMA), ["k"], F.col("seq"), is_delete())
     assert as_set(once, "k", "seq", "v") == expected(changes)
-    table = KeyedTable(spark, str(tmp_path_factory.mktemp("t")), ["k"], buckets=2)
+    table = KeyedTable(spark, str(tmp_path_factory.mktemp("t")), ["k"])
     for i in range(cuts):
         part = mixed[i::cuts]
         if part:

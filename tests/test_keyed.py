@@ -13,7 +13,7 @@ def gone():
 
 @pytest.fixture
 def table(spark, tmp_path):
-    return KeyedTable(spark, str(tmp_path / "t"), ["k"], buckets=3)
+    return KeyedTable(spark, str(tmp_path / "t"), ["k"])
 
 
 def merge(table, *rows, schema=SCHEMA, **kwargs):
@@ -45,16 +45,17 @@ def test_deleted_keys_stay_deleted_until_a_later_insert(table):
 
 
 def test_a_batch_is_applied_once(table):
-    assert merge(table, (1, 1, "I", "a"), source="s", batch_id=0) == 1
-    assert merge(table, (1, 9, "U", "z"), source="s", batch_id=0) == 1
-    assert merge(table, (1, 2, "U", "b"), source="other", batch_id=0) == 2
-    assert as_set(table.read(), "v") == {("b",)}
+    assert merge(table, (1, 1, "I", "a"), batch="s-0") == 1
+    assert merge(table, (1, 2, "U", "b"), batch="s-0") == 1
+    assert as_set(table.read(), "v") == {("b",)} and table.read_changes(1).count() == 1
+    assert merge(table, (1, 3, "U", "c"), batch="other-0") == 2
+    assert as_set(table.read(), "v") == {("c",)}
 
 
 def test_an_empty_batch_keeps_the_table(table):
     merge(table, (1, 1, "I", "a"))
     empty = table.spark.createDataFrame([], SCHEMA)
-    table.merge(empty, F.col("seq"), gone(), "s", 4)
+    table.merge(empty, F.col("seq"), gone(), "s-4")
     assert as_set(table.read(), "v") == {("a",)} and table.latest_version() == 2
 
 
@@ -82,6 +83,19 @@ def test_compaction_and_rollback(table):
     table.rollback(1)
     assert as_set(table.read(), "v") == {("a",)}
     assert table.read(2).count() == 1
+    table.clean()
+    assert as_set(table.read(), "v") == {("a",)}
+    with pytest.raises(ValueError):
+        table.read(2)
+
+
+def test_a_merge_writes_its_own_rows_only(spark, table):
+    table.merge(spark.range(20_000).selectExpr("int(id) k", "1 seq", "'I' OP", "'a' v"), F.col("seq"), gone())
+    table.merge(spark.range(200).selectExpr("int(id * 97) k", "2 seq", "'U' OP", "'b' v"), F.col("seq"), gone())
+    assert spark.read.parquet(f"{table.path}/changes/_v=2").count() == 200
+    assert table.read().filter("v = 'b'").count() == 200 and table.read().count() == 20_000
+    assert not table.upkeep(share=10) or table.latest_version() == 2
+    assert table.read().count() == 20_000
 
 
 def test_rows_without_key_are_left_out(table):
@@ -106,9 +120,9 @@ def test_feed_as_a_stream(table, tmp_path):
         return as_set(table.spark.read.parquet(str(tmp_path / "out")), "_change_type", "k", "v")
 
     first = run()
-    assert first == {("insert", 1, "a"), ("insert", 2, "b"), ("update_postimage", 1, "c")}
+    assert first == {("update_postimage", 1, "a"), ("update_postimage", 2, "b"), ("update_postimage", 1, "c")}
     merge(table, (2, 4, "D", None))
-    assert run() - first == {("delete", 2, "b")}
+    assert run() - first == {("delete", 2, None)}
 
 
 def test_reading_nothing(table):

@@ -77,6 +77,5 @@ def to_instant(*names: str) -> dict[str, Column]:
 
 
 def money(column: Column | str) -> Column:
-    """An order-independent sum of a two-decimal amount kept as double."""
-    c = F.col(column) if isinstance(column, str) else column
-    return F.round(F.sum(c.cast("decimal(18,2)")).cast("double"), 2)
+    """The sum of an amount at full precision, rounded to cents only at the end."""
+    return F.round(F.sum(column), 2)

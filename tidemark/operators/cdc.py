@@ -77,11 +77,12 @@ def drop_preimages(feed: DataFrame) -> DataFrame:
 
 
 def apply_feed(state: DataFrame, feed: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The state after a change feed of one step: changed keys are replaced, deleted keys removed."""
+    """The state after a change feed of one step: changed keys are replaced, deleted keys removed. One join."""
     columns = state.columns
-    final = drop_preimages(feed)
-    kept = state.join(final.select(*keys), list(keys), "left_anti")
-    return kept.select(*columns).unionByName(final.filter(F.col(CHANGE_TYPE) != DELETE).select(*columns))
+    before = state.select(*keys, F.struct(*columns).alias("_old"))
+    final = drop_preimages(feed).select(*keys, F.struct(*columns).alias("_new"), F.col(CHANGE_TYPE).alias("_kind"))
+    rows = before.join(final, list(keys), "full_outer").filter(F.coalesce(F.col("_kind") != DELETE, F.lit(True)))
+    return rows.select(F.when(F.col("_kind").isNull(), F.col("_old")).otherwise(F.col("_new")).alias("_row")).select("_row.*")
 
 
 def inferred_members(

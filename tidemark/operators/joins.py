@@ -1,12 +1,10 @@
-"""Joins for keys of very uneven weight, and broadcasts of checked size."""
+"""Joins for keys of very uneven weight."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 500_000
-
 
 def splittable_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
     """Equi-join on ``key`` that adaptive execution can split when one key holds much of ``left``.
@@ -22,8 +20,3 @@ def splittable_join(left: DataFrame, right: DataFrame, key: str, how: str = "inn
     if how in ("right", "right_outer"):
         return joined.withColumn(key, F.col(twin)).drop(twin)
     return joined.drop(twin)
-
-
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast when the frame, which should be stored and cheap to count, has at most ``rows`` rows."""
-    return F.broadcast(df) if df.count() <= rows else df

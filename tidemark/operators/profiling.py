@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.ranking import quantiles
@@ -18,26 +18,31 @@ def null_counts(df: DataFrame, table: str | None = None) -> DataFrame:
     return long if table is None else long.withColumn("table_name", F.lit(table))
 
 
-def uniqueness(df: DataFrame, column: str, approximate: bool = False) -> DataFrame:
-    """Distinct values of a column and their share of the rows in percent.
+def uniqueness(df: DataFrame, *columns: str, approximate: bool = False) -> DataFrame:
+    """Distinct values of each column and their share of the rows in percent, in one scan for all columns.
 
-    The exact form counts per value first, so neither a frequent value nor a near-unique column strains one task.
+    The exact form counts per column and value first, so neither a frequent value nor a near-unique column strains one task.
     """
-    if approximate:
-        found = df.agg(F.approx_count_distinct(column).alias("distinct_values"), F.count(F.lit(1)).alias("row_count"))
-    else:
-        per_value = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-        found = per_value.agg(
-            F.count(column).alias("distinct_values"), F.coalesce(F.sum("n"), F.lit(0)).alias("row_count")
-        )
     share = F.try_divide(F.col("distinct_values") * 100, F.col("row_count"))
-    return found.select(F.lit(column).alias("column_name"), "distinct_values", "row_count", share.alias("unique_pct"))
+    if approximate:
+        counts = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.approx_count_distinct(c).alias(c) for c in columns])
+        cells = [F.struct(F.lit(c).alias("column_name"), F.col(c).alias("distinct_values"), F.col("_rows").alias("row_count")) for c in columns]
+        return counts.select(F.inline(F.array(*cells))).withColumn("unique_pct", share)
+
+    def pairs(value: Callable[[str], Column], n: int) -> Column:
+        cells = [F.struct(F.lit(c).alias("column_name"), value(c).alias("value"), F.lit(n).alias("n")) for c in columns]
+        return F.inline(F.array(*cells))
+
+    nothing = df.sparkSession.range(1).select(pairs(lambda c: F.lit(None).cast("string"), 0))  # a line for columns of no rows
+    long = df.select(pairs(lambda c: F.col(c).cast("string"), 1)).unionByName(nothing)
+    per_value = long.groupBy("column_name", "value").agg(F.sum("n").alias("n"))
+    found = per_value.groupBy("column_name").agg(F.count("value").alias("distinct_values"), F.sum("n").alias("row_count"))
+    return found.withColumn("unique_pct", share)
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
-    """How often each non-NULL value occurs, most frequent first."""
-    counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("occurrences"))
-    return counts.orderBy(F.desc("occurrences"), F.asc(column))
+    """How often each non-NULL value occurs; sorting is left to the reader of the result."""
+    return df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("occurrences"))
 
 
 def describe(df: DataFrame, column: str) -> DataFrame:

@@ -92,14 +92,15 @@ def apply_rules(
 ) -> DataFrame:
     """Tag each row with the reason it is rejected for, NULL when it passes.
 
-    Delete rows carry no payload worth checking and always pass. A NULL operation is an upsert, or removes the row
+    Delete rows carry no payload worth checking and pass if their key is whole. A NULL operation is an upsert, or removes the row
     with ``null_op='drop'``.
     """
     reason = first_failure(rules, keys, on_null, malformed)
     if op is not None and op in df.columns:
         if null_op == "drop":
             df = df.filter(F.col(op).isNotNull())
-        reason = F.when(F.col(op).eqNullSafe("D"), F.lit(None).cast("string")).otherwise(reason)
+        keyless = F.when(~all_present(keys), F.lit(NULL_KEY)) if keys else F.lit(None).cast("string")
+        reason = F.when(F.col(op).eqNullSafe("D"), keyless).otherwise(reason)
     tagged = df.withColumn(REASON, reason)
     if on_null == "drop":
         tagged = tagged.filter(F.col(REASON).isNull() | (F.col(REASON) != _UNDECIDED))

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.operators.joins import broadcast_if_small
 from tidemark.session import shared_root
 
 
@@ -17,7 +16,7 @@ def numbered(df: DataFrame, order: Sequence[str], group: Sequence[str] = (), nam
 
     Rows are range-partitioned on group and order together, so a group of any size spreads over many tasks. Each
     partition numbers its own rows; the start of a group inside a partition comes from the counts of the partitions
-    before it, a table of at most (partitions + groups) rows that is broadcast while it is small.
+    before it, a table of at most (partitions + groups) rows that Spark broadcasts while it is small.
     """
     spark = df.sparkSession
     shared_root(spark)
@@ -31,7 +30,7 @@ def numbered(df: DataFrame, order: Sequence[str], group: Sequence[str] = (), nam
     match = [F.col(f"_c.{c}").eqNullSafe(F.col(f"_r.{c}")) for c in group] + [F.col("_c._part") == F.col("_r._part")]
     runs = placed.groupBy(*group, "_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
     runs = runs.select(*group, "_part", "_first", (_prefix_sum(runs, group)).alias("_before"))
-    joined = placed.alias("_r").join(broadcast_if_small(runs.checkpoint()).alias("_c"), match, "left")
+    joined = placed.alias("_r").join(runs.checkpoint().alias("_c"), match, "left")
     return joined.select(
         *[F.col(f"_r.{c}").alias(c) for c in df.columns],
         (F.col("_before") + F.col("_at") - F.col("_first") + 1).alias(name),
@@ -55,7 +54,7 @@ def running_sum(df: DataFrame, order: str, value: str, name: str = "running_sum"
     before = totals.select("_part", _prefix_sum(totals, ()).alias("_before"))
     inside = Window.partitionBy("_part").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     local = placed.withColumn("_local", F.sum(value).over(inside))
-    return local.join(broadcast_if_small(before.checkpoint()), "_part").select(*df.columns, (F.col("_before") + F.col("_local")).alias(name))
+    return local.join(before.checkpoint(), "_part").select(*df.columns, (F.col("_before") + F.col("_local")).alias(name))
 
 
 def quantiles(df: DataFrame, column: str, probabilities: Sequence[float]) -> DataFrame:
@@ -66,20 +65,21 @@ def quantiles(df: DataFrame, column: str, probabilities: Sequence[float]) -> Dat
     """
     counted = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
     ranked = running_sum(counted, column, "_n", "_upto")
-    total = F.max("_upto")
+    last = ranked.agg(F.max("_upto")).scalar() - 1
     picks, names = [], []
-    last = ranked.agg(total.alias("n")).first()["n"] or 0
+    placed = ranked.withColumn("_last", last)
     for p in probabilities:
-        at = p * (last - 1)
-        low = int(at)
+        at = F.lit(float(p)) * F.col("_last")
+        low = F.floor(at)
         name = f"p{round(p * 100)}"
-        names.append((name, at - low))
+        names.append((name, F.col(f"_part_{name}")))
         picks.append(F.min(F.when(F.col("_upto") > low, F.col(column))).alias(f"_low_{name}"))
-        picks.append(F.min(F.when(F.col("_upto") > min(low + 1, last - 1), F.col(column))).alias(f"_high_{name}"))
-    found = ranked.agg(*picks)
+        picks.append(F.min(F.when(F.col("_upto") > F.least(low + 1, "_last"), F.col(column))).alias(f"_high_{name}"))
+        picks.append(F.max(at - low).alias(f"_part_{name}"))
+    found = placed.agg(*picks)
     return found.select(
         *[
-            (F.col(f"_low_{n}") + (F.col(f"_high_{n}") - F.col(f"_low_{n}")) * F.lit(part)).alias(n)
+            (F.col(f"_low_{n}") + (F.col(f"_high_{n}") - F.col(f"_low_{n}")) * part).alias(n)
             for n, part in names
         ]
     )

@@ -70,11 +70,9 @@ def monthly_gmv_orders(star: Star) -> DataFrame:
 
 def payment_mix(star: Star) -> DataFrame:
     """Paid value per payment type and its percentage of the total; one row per type of a fixed domain."""
-    by_type = star["fact_payments"].groupBy("payment_type").agg(
-        F.sum(F.col("payment_value").cast("decimal(18,2)")).alias("_paid")
-    )
-    paid = F.round(F.col("_paid").cast("double"), 2)
-    whole = F.round(F.sum("_paid").over(Window.partitionBy()).cast("double"), 2)
+    by_type = star["fact_payments"].groupBy("payment_type").agg(F.sum("payment_value").alias("_paid"))
+    paid = F.round("_paid", 2)
+    whole = F.round(F.sum("_paid").over(Window.partitionBy()), 2)
     return by_type.select(
         "payment_type", paid.alias("total_payment_value"), F.try_divide(paid * 100, whole).alias("pct_of_total")
     ).orderBy(F.desc("total_payment_value"), "payment_type")
@@ -99,7 +97,7 @@ def in_top_categories(star: Star, n: int = 10) -> DataFrame:
 
 def state_drillthrough(star: Star, state: str) -> DataFrame:
     """All measures for one state; those the state does not reach keep their overall value."""
-    return measure(star, ALL_MEASURES, where={"dim_customer": f"customer_state = '{state}'"})
+    return measure(star, ALL_MEASURES, where={"dim_customer": F.col("customer_state") == F.lit(state)})
 
 
 # -- shopping behaviour -------------------------------------------------------------------------------------------
@@ -132,11 +130,11 @@ def customer_ltv(star: Star) -> DataFrame:
     """Lifetime sales and orders per person."""
     edge = star["dim_customer"].select("customer_sk", "customer_unique_id")
     spent = star["fact_order_items"].groupBy("customer_sk", "order_id").agg(
-        F.sum(F.col("gmv_item").cast("decimal(18,2)")).alias("_gmv")
+        F.sum("gmv_item").alias("_gmv")
     )
     people = spent.join(edge, "customer_sk").groupBy("customer_unique_id")
     totals = people.agg(
-        F.round(F.sum("_gmv").cast("double"), 2).alias("lifetime_gmv"), F.count_distinct("order_id").alias("orders")
+        money("_gmv").alias("lifetime_gmv"), F.count_distinct("order_id").alias("orders")
     )
     return totals.withColumn("is_repeat", F.col("orders") > 1)
 
@@ -165,7 +163,7 @@ def box_size(items: DataFrame) -> DataFrame:
 def geo_concentration(star: Star, dim: str, state: str) -> DataFrame:
     """Share of sales per state, and how it adds up from the largest state on; one row per federal unit."""
     sales = measure(star, ("total_gmv",), by=(f"{dim}.{state}",))
-    cents = F.col("total_gmv").cast("decimal(18,2)")
+    cents = F.col("total_gmv").cast("decimal(28,2)")  # totals already rounded to cents
     order = Window.orderBy(F.desc("total_gmv"), F.asc(state)).rowsBetween(Window.unboundedPreceding, 0)
     whole = F.sum(cents).over(Window.partitionBy()).cast("double")
     return sales.select(
@@ -178,11 +176,10 @@ def geo_concentration(star: Star, dim: str, state: str) -> DataFrame:
 
 def installment_analysis(payments: DataFrame) -> DataFrame:
     """Orders, paid value and mean monthly instalment by number of instalments."""
-    monthly = F.avg(F.col("monthly_instalment_value").cast("decimal(18,6)")).cast("double")
     return payments.groupBy("payment_installments").agg(
         F.count_distinct("order_id").alias("orders"),
         money("payment_value").alias("paid_value"),
-        F.round(monthly, 4).alias("mean_monthly_instalment"),
+        F.round(F.avg("monthly_instalment_value"), 4).alias("mean_monthly_instalment"),
     )
 
 

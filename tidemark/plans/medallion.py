@@ -6,9 +6,11 @@ from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime
 from functools import cache, partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.entities import ENTITIES
+from tidemark.entities import COMMIT_TS, ENTITIES
 from tidemark.plans import silver, star
 from tidemark.sources.files import write_clustered
 from tidemark.sources.keyed import KeyedTable
@@ -64,14 +66,14 @@ def build_star(silver_rows: Callable[[str], DataFrame], now: datetime | None = N
 class Warehouse:
     """Bronze, silver and gold tables under one folder, kept current by :meth:`run`."""
 
-    def __init__(self, spark: SparkSession, root: str, buckets: int = 16, mode: str = "xxhash64"):
-        self.spark, self.root, self.buckets, self.mode = spark, root.rstrip("/"), buckets, mode
+    def __init__(self, spark: SparkSession, root: str, mode: str = "xxhash64"):
+        self.spark, self.root, self.mode = spark, root.rstrip("/"), mode
 
     def silver_table(self, entity: str) -> KeyedTable:
-        return KeyedTable(self.spark, f"{self.root}/silver/{entity}", ENTITIES[entity].keys, self.buckets)
+        return KeyedTable(self.spark, f"{self.root}/silver/{entity}", ENTITIES[entity].keys)
 
     def gold_table(self, name: str) -> KeyedTable:
-        return KeyedTable(self.spark, f"{self.root}/gold/{name}", star.GOLD[name].keys, self.buckets)
+        return KeyedTable(self.spark, f"{self.root}/gold/{name}", star.GOLD[name].keys)
 
     def _checkpoint(self, step: str) -> str:
         return f"{self.root}/checkpoints/{step}"
@@ -83,15 +85,20 @@ class Warehouse:
         entities: Sequence[str] = tuple(ENTITIES),
         max_files: int | None = None,
         evolve: bool = False,
+        upkeep: float | None = 0.5,
     ) -> None:
         """Process all landing files that no earlier run has seen, through to the star schema.
 
-        With ``evolve``, columns that appeared upstream are taken along into bronze and silver.
+        With ``evolve``, columns that appeared upstream are taken along into bronze and silver. Entities may be left out; gold tables
+        follow from those that have come so far. Tables whose changes since the last compaction exceed the share ``upkeep`` of
+        their base are compacted at the end, when every step has read them.
         """
         added = {e: added_columns(self.spark, landing, e) if evolve else () for e in entities}
         self.run_bronze(landing, now, added, max_files)
         self.run_silver(now, added, max_files)
         self.run_gold(now)
+        if upkeep is not None:
+            self.upkeep(upkeep)
 
     def run_bronze(
         self, landing: str, now: datetime | None, added: Mapping[str, Sequence], max_files: int | None = None
@@ -112,43 +119,87 @@ class Warehouse:
         runs.run_all(started)
 
     def run_gold(self, now: datetime | None = None) -> None:
-        """Dimensions first, then the facts against one snapshot of the orders, then facts whose order came late."""
-        names = self.silver_table("product_category_name_translation").read()
+        """Dimensions, then rows that a changed parent makes stale, then the facts that came or changed themselves."""
         orders = self.silver_table("orders")
-        calendar_path = f"{self.root}/gold/dim_date/version={orders.latest_version()}"
-        star.dim_date(orders.read(), self.mode).coalesce(1).write.mode("overwrite").parquet(calendar_path)
-        calendar = self.spark.read.parquet(calendar_path)
         stages = {
             "dim_customer": partial(star.dim_customer, now=now, mode=self.mode),
             "dim_seller": partial(star.dim_seller, now=now, mode=self.mode),
-            "dim_product": partial(star.dim_product, translations=names, now=now, mode=self.mode),
-            "dim_order": partial(star.dim_order, calendar=calendar, now=now, mode=self.mode),
         }
-        runs.run_all([self._gold(name, stage) for name, stage in stages.items()])
-        known = self.gold_table("dim_order").read()
-        sequence = star.fact_sequence(silver.is_delete())
+        if self._known("orders"):
+            calendar_path = f"{self.root}/gold/dim_date/version={orders.latest_version()}"
+            star.dim_date(orders.read(), self.mode).coalesce(1).write.mode("overwrite").parquet(calendar_path)
+            calendar = self.spark.read.parquet(calendar_path)
+            stages["dim_order"] = partial(star.dim_order, calendar=calendar, now=now, mode=self.mode)
+        self._run(stages)
+        names = self._parents("product_category_name_translation", "product_category_name_english")
+        products = {"dim_product": partial(star.dim_product, translations=names, now=now, mode=self.mode)}
+        known = self._order_keys()
+        facts = {name: partial(build, orders=known, now=now, mode=self.mode) for name, build in _FACT_BUILDERS.items()}
+        self._refresh("product_category_name_translation", "product_category_name", products)
+        self._refresh("orders", "order_id", facts)
+        self._run({**products, **facts}, star.joined_sequence(silver.is_delete()))
+
+    def _known(self, entity: str) -> bool:
+        return self.silver_table(entity).latest_version() > 0
+
+    def _parents(self, entity: str, *columns: str) -> DataFrame:
+        """Every row an entity ever had: the columns, NULL once it is deleted, and when that was committed."""
+        keys = ENTITIES[entity].keys
+        if not self._known(entity):
+            empty = self.spark.createDataFrame([], ENTITIES[entity].change_schema)
+            return empty.select(*keys, *columns, F.col(COMMIT_TS).alias(star.PARENT_AT))
+        rows = self.silver_table(entity).read_all()
+        values = [F.when(~F.col("_deleted"), F.col(c)).alias(c) for c in columns]
+        return rows.select(*keys, *values, F.col("_order.sequence").alias(star.PARENT_AT))
+
+    def _order_keys(self) -> DataFrame:
+        """The keys facts take from their order; an order that was deleted gives none."""
+        keys = ("order_sk", "customer_sk", "purchase_date_sk")
+        table = self.gold_table("dim_order")
+        if not table.latest_version():
+            kind = "order_id string, " + ", ".join(f"{k} bigint" for k in keys) + f", {star.PARENT_AT} timestamp_ntz"
+            return self.spark.createDataFrame([], kind)
+        values = [F.when(~F.col("_deleted"), F.col(k)).alias(k) for k in keys]
+        return table.read_all().select("order_id", *values, F.col("_order.sequence").alias(star.PARENT_AT))
+
+    def _run(self, stages: Mapping[str, Callable], sequence: Column | None = None) -> None:
         started = []
-        for name, build in _FACT_BUILDERS.items():
-            stage = partial(build, orders=known, now=now, mode=self.mode)
-            started.append(self._gold(name, stage, sequence))
+        for name, stage in stages.items():
+            if self._known(star.GOLD[name].source):
+                feed = self.silver_table(star.GOLD[name].source).change_stream()
+                point = self._checkpoint(f"gold-{name}")
+                started.append(runs.gold_stream(feed, stage, self.gold_table(name), point, sequence))
         runs.run_all(started)
-        for name in FACTS:
-            self.repair(name)
-
-    def _gold(self, name, stage, sequence=None):
-        source = star.GOLD[name].source
-        feed = self.silver_table(source).change_stream()
-        return runs.gold_stream(feed, stage, self.gold_table(name), self._checkpoint(f"gold-{name}"), source, sequence)
-
-    def repair(self, fact: str) -> int:
-        """Give facts without order key another try; only rows that now find their order are merged."""
-        table = self.gold_table(fact)
-        facts = table.read()
-        lost = facts.filter("order_sk is null")
-        found = star.repair_order_keys(lost, self.gold_table("dim_order").read()).filter("order_sk is not null")
-        if found.isEmpty():
-            return table.latest_version()
-        return table.merge(found, star.fact_sequence(silver.is_delete()), silver.is_delete())
+
+    def _refresh(self, parent: str, key: str, stages: Mapping[str, Callable]) -> None:
+        """Stage anew the rows whose parent changed since the last run.
+
+        A stream of its own over the parent's changes remembers how far that has come. What it costs follows the changed parents
+        and their rows; a gold table that does not exist yet has no stale rows.
+        """
+        if not self._known(parent):
+            return
+        started = []
+        for name, stage in stages.items():
+            child = star.GOLD[name].source
+            ready = self._known(child) and self.gold_table(name).latest_version() > 0
+            started.append(self._refresh_stream(parent, key, name, stage if ready else None, child))
+        runs.run_all(started)
+
+    def _refresh_stream(self, parent: str, key: str, name: str, stage: Callable | None, child: str) -> StreamingQuery:
+        table, sequence = self.gold_table(name), star.joined_sequence(silver.is_delete())
+
+        def step(changed: DataFrame, batch: str) -> None:
+            if stage is not None:
+                stale = self.silver_table(child).read().join(changed.select(key).distinct(), key, "left_semi")
+                table.merge(stage(stale), sequence, silver.is_delete(), batch)
+
+        return runs.for_each_batch(self.silver_table(parent).change_stream(), self._checkpoint(f"refresh-{name}"), step)
+
+    def upkeep(self, share: float = 0.5) -> list[str]:
+        """Compact the keyed tables that need it; returns their names."""
+        tables = {e: self.silver_table(e) for e in ENTITIES} | {n: self.gold_table(n) for n in (*DIMENSIONS, *FACTS)}
+        return [n for n, t in tables.items() if t.latest_version() and t.upkeep(share)]
 
     def quarantine(self, entity: str) -> DataFrame:
         return self.spark.read.option("mergeSchema", True).parquet(f"{self.root}/quarantine/{entity}").drop("batch")
@@ -161,5 +212,9 @@ class Warehouse:
     def star(self) -> dict[str, DataFrame]:
         """The gold tables as they stand."""
         orders = self.silver_table("orders").latest_version()
-        tables = {n: self.gold_table(n).read() for n in (*DIMENSIONS, *FACTS)}
-        return {"dim_date": self.spark.read.parquet(f"{self.root}/gold/dim_date/version={orders}"), **tables}
+        found = {n: self.gold_table(n) for n in (*DIMENSIONS, *FACTS)}
+        tables = {n: t.read() for n, t in found.items() if t.latest_version()}
+        hidden = [star.PARENT_AT]
+        tables = {n: df.drop(*hidden) for n, df in tables.items()}
+        days = {"dim_date": self.spark.read.parquet(f"{self.root}/gold/dim_date/version={orders}")} if orders else {}
+        return {**days, **tables}

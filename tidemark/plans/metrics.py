@@ -54,7 +54,7 @@ class Measure:
 
 
 def _amount(column: str) -> Callable[[], Column]:
-    return lambda: F.sum(F.col(column).cast("decimal(18,2)"))
+    return lambda: F.sum(column)
 
 
 def _summed(table: str, column: str) -> Measure:
@@ -64,7 +64,7 @@ def _summed(table: str, column: str) -> Measure:
         (column,),
         lambda: money(column),
         {part: _amount(column)},
-        lambda: F.round(F.sum(part).cast("double"), 2),
+        lambda: money(part),
     )
 
 
@@ -104,12 +104,12 @@ def reachable(table: str, dim: str) -> bool:
 
 
 def measure(
-    star: Star, names: Sequence[str], by: Sequence[str] = (), where: Mapping[str, str] | None = None
+    star: Star, names: Sequence[str], by: Sequence[str] = (), where: Mapping[str, str | Column] | None = None
 ) -> DataFrame:
     """Measures side by side, grouped by dimension attributes given as ``dim.attribute``.
 
     Each table is aggregated on its own and the results are lined up afterwards, so no fact multiplies the rows of
-    another. A condition in ``where`` (dimension -> SQL) applies to the tables the dimension reaches and leaves the
+    another. A condition in ``where`` (dimension -> column or SQL) applies to the tables the dimension reaches and leaves the
     rest alone; grouping by an attribute out of reach is an error.
     """
     where = dict(where or {})

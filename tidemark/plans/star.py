@@ -28,6 +28,8 @@ from tidemark.plans.silver import PROCESSED
 
 GOLD_PROCESSED = "_gold_processed_at"
 FEED_COLUMNS = (CHANGE_TYPE, "_commit_version")
+#: When the row on the other side of a join was committed; settles which of two versions of a joined row is newer.
+PARENT_AT = "_parent_at"
 
 
 @dataclass(frozen=True)
@@ -63,11 +65,9 @@ def gold_sequence() -> Column:
     return sequence_key(COMMIT_TS, PROCESSED)
 
 
-def fact_sequence(is_delete: Column) -> Column:
-    """Orders the versions of a fact; of two equal ones, the one that knows its order comes later."""
-    return F.struct(
-        gold_sequence().alias("at"), is_delete.alias("gone"), F.col("order_sk").isNotNull().alias("resolved")
-    )
+def joined_sequence(is_delete: Column) -> Column:
+    """Orders the versions of a row joined to a parent: of two equal ones, that with the later parent is the later one."""
+    return F.struct(gold_sequence().alias("at"), is_delete.alias("gone"), F.col(PARENT_AT).alias("parent_at"))
 
 
 def feed_is_delete() -> Column:
@@ -76,7 +76,7 @@ def feed_is_delete() -> Column:
 
 
 def _staged(df: DataFrame, columns: list[str | Column], now: datetime | None) -> DataFrame:
-    feed = [c for c in FEED_COLUMNS if c in df.columns]
+    feed = [c for c in (*FEED_COLUMNS, PARENT_AT) if c in df.columns]
     df = df.withColumn(GOLD_PROCESSED, on_day(F.col(PROCESSED), now))
     return df.select(*columns, PROCESSED, GOLD_PROCESSED, OP, COMMIT_TS, *feed)
 
@@ -123,7 +123,8 @@ def join_translation(products: DataFrame, translations: DataFrame) -> DataFrame:
 
     The translations come from a stored table, so Spark broadcasts them as long as that table is small.
     """
-    names = translations.select("product_category_name", "product_category_name_english")
+    parent = [PARENT_AT] if PARENT_AT in translations.columns else []
+    names = translations.select("product_category_name", "product_category_name_english", *parent)
     return splittable_join(products, names, "product_category_name", "left")
 
 
@@ -187,7 +188,8 @@ def dim_order(
 
 def join_order_keys(rows: DataFrame, orders: DataFrame, *keys: str) -> DataFrame:
     """Rows of any fact with keys of their order, NULL where the order is not known."""
-    return splittable_join(rows, orders.select("order_id", *keys), "order_id", "left")
+    parent = [PARENT_AT] if PARENT_AT in orders.columns else []
+    return splittable_join(rows, orders.select("order_id", *keys, *parent), "order_id", "left")
 
 
 def fact_order_items(

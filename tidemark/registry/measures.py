@@ -249,10 +249,10 @@ def _geo(side):
                 SELECT {state}, {GMV} AS total_gmv FROM fact_order_items f JOIN {dim} d ON f.{side}_sk = d.{side}_sk
                 GROUP BY {state})
             SELECT {state}, total_gmv,
-                   total_gmv / CAST(sum(CAST(total_gmv AS DECIMAL(18,2))) OVER () AS DOUBLE) AS share,
-                   CAST(sum(CAST(total_gmv AS DECIMAL(18,2))) OVER (ORDER BY total_gmv DESC, {state}
+                   total_gmv / CAST(sum(CAST(total_gmv AS DECIMAL(28,2))) OVER () AS DOUBLE) AS share,
+                   CAST(sum(CAST(total_gmv AS DECIMAL(28,2))) OVER (ORDER BY total_gmv DESC, {state}
                         ROWS UNBOUNDED PRECEDING) AS DOUBLE)
-                     / CAST(sum(CAST(total_gmv AS DECIMAL(18,2))) OVER () AS DOUBLE) AS cumulative_share
+                     / CAST(sum(CAST(total_gmv AS DECIMAL(28,2))) OVER () AS DOUBLE) AS cumulative_share
             FROM by_state""",
     )
     def _(spark, sf):

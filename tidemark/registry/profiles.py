@@ -55,7 +55,10 @@ def _(spark, sf):
     ),
 )
 def _(spark, sf):
-    found = [profiling.uniqueness(raw(spark, sf, e), c).withColumn("table_name", F.lit(e)) for e, c in _UNIQUE]
+    columns: dict[str, list[str]] = {}
+    for e, c in _UNIQUE:
+        columns.setdefault(e, []).append(c)
+    found = [profiling.uniqueness(raw(spark, sf, e), *cs).withColumn("table_name", F.lit(e)) for e, cs in columns.items()]
     return union_by_name(*found)
 
 

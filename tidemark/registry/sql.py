@@ -32,7 +32,7 @@ def on_day(value: str) -> str:
 
 
 def money(value: str) -> str:
-    return f"round(CAST(sum(CAST({value} AS DECIMAL(18,2))) AS DOUBLE), 2)"
+    return f"round(sum(CAST({value} AS DOUBLE)), 2)"
 
 
 def _state(key: str) -> str:
@@ -100,12 +100,12 @@ CTES: dict[str, str] = {
         WHERE o_orderkey % 23 = 0""",
     "raw_reviews": """
         SELECT 'R' || CASE WHEN event_id % 10 < 2 THEN event_id - event_id % 2 ELSE event_id END AS review_id,
-               'O' || (event_id % 1500) AS order_id, CAST(CAST(floor(value) AS BIGINT) % 7 AS INTEGER) AS review_score,
+               'O' || CASE WHEN event_id % 10 IN (4, 5) THEN event_id - event_id % 2 ELSE event_id END AS order_id, CAST(CAST(floor(value) AS BIGINT) % 7 AS INTEGER) AS review_score,
                CASE WHEN event_id % 3 <> 0 THEN 'title ' || event_id END AS review_comment_title,
                CASE WHEN event_id % 2 <> 0 THEN props END AS review_comment_message,
                CAST(ts AS DATE) AS review_creation_date, ts + to_hours(event_id % 72) AS review_answer_timestamp,
                'I' AS "OP", CAST(CAST(ts AS DATE) AS TIMESTAMP) AS "AR_H_COMMIT_TIMESTAMP"
-        FROM events WHERE event_type IN ('view', 'click')""",
+        FROM events""",
     "user_changes": """
         SELECT user_id, event_id, event_type, value,
                CASE event_type WHEN 'signup' THEN 'I' WHEN 'error' THEN 'D' ELSE 'U' END AS "OP",

@@ -86,7 +86,7 @@ def _(spark, sf):
 def _item_stream(spark, sf, name, parts, max_files=None, replays=1):
     """Land the given parts one after the other and keep a keyed table current from the stream."""
     root = scratch(spark, name)
-    table = KeyedTable(spark, f"{root}/items", ITEM, buckets=4)
+    table = KeyedTable(spark, f"{root}/items", ITEM)
     for part in parts:
         write_landing(part, f"{root}/landing", "order_items", FIRST_DAY)
         for _ in range(replays):
@@ -137,7 +137,7 @@ def _(spark, sf):
 def _(spark, sf):
     """All deletes first, then every older and newer row: older ones must not revive a key."""
     changes = testbed.user_changes(spark, sf)
-    table = KeyedTable(spark, scratch(spark, "tombstones"), ["user_id"], buckets=2)
+    table = KeyedTable(spark, scratch(spark, "tombstones"), ["user_id"])
     for part in (changes.filter(silver.is_delete()), changes.filter(~silver.is_delete())):
         table.merge(part, F.col(COMMIT_TS), silver.is_delete())
     return table.read()

@@ -138,7 +138,7 @@ def _(spark, sf):
 @register("rollback", "SELECT * FROM items_midway")
 def _(spark, sf):
     """A table rolled back to its first version, then compacted."""
-    table = KeyedTable(spark, scratch(spark, "rolled-back"), ITEM, buckets=4)
+    table = KeyedTable(spark, scratch(spark, "rolled-back"), ITEM)
     rows = cleaned(spark, sf, "order_items")
     for part in (early(rows), late(rows)):
         table.merge(part, silver.silver_sequence(), silver.is_delete())

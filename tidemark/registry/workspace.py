@@ -54,7 +54,7 @@ def item_table(spark: SparkSession, sf_dir: str) -> KeyedTable:
     """Current order items in two versions: up to midway, and all."""
 
     def build(root: str) -> KeyedTable:
-        table = KeyedTable(spark, root, ITEM, buckets=8)
+        table = KeyedTable(spark, root, ITEM)
         rows = cleaned(spark, sf_dir, "order_items")
         for part in (early(rows), late(rows)):
             table.merge(part, silver.silver_sequence(), silver.is_delete())
@@ -67,7 +67,7 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     """The star schema after two runs: items and reviews first without their later orders, then the rest."""
 
     def build(root: str) -> Warehouse:
-        land, house = f"{root}/landing", Warehouse(spark, f"{root}/tables", buckets=4, mode=KEY_MODE)
+        land, house = f"{root}/landing", Warehouse(spark, f"{root}/tables", mode=KEY_MODE)
         for entity in ENTITIES:
             rows = raw(spark, sf_dir, entity)
             write_landing(early(rows) if entity == "orders" else rows, land, entity, FIRST_DAY)

@@ -13,13 +13,22 @@ from tidemark.entities import ENTITIES
 CSV_TIMESTAMP = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
 
 
-def read_entity_csv(spark: SparkSession, path: str, entity: str, schema: T.StructType | None = None) -> DataFrame:
-    """An entity from CSV with a header line, typed by its schema; a byte-order mark is skipped."""
+#: Entities whose texts may hold line breaks; their files cannot be split.
+MULTILINE = ("reviews",)
+
+
+def read_entity_csv(
+    spark: SparkSession, path: str, entity: str, schema: T.StructType | None = None, multi_line: bool | None = None
+) -> DataFrame:
+    """An entity from CSV with a header line, typed by its schema; a byte-order mark is skipped.
+
+    Files are split among tasks unless values may hold line breaks, by default in the entities of ``MULTILINE``.
+    """
     return (
         spark.read.option("header", True)
         .option("encoding", "UTF-8")
         .option("enforceSchema", True)
-        .option("multiLine", True)
+        .option("multiLine", entity in MULTILINE if multi_line is None else multi_line)
         .option("escape", '"')
         .option("timestampNTZFormat", CSV_TIMESTAMP)
         .schema(schema or ENTITIES[entity].columns)

@@ -1,22 +1,18 @@
-"""A table with one current row per key, kept in versioned Parquet folders.
+"""A table with one current row per key, kept as plain Parquet folders of change rows.
 
-    data/_v=<version>/bucket=<b>/   the rows of one hash bucket, deleted keys included as tombstones
-    log/version=<version>/         one row per bucket: the data version that holds it
+    changes/_v=<n>/_batch=<name>/   the last change of every key of one merge, deletes included
+    base/_v=<n>/                   the state after merge n, deleted keys included, that compaction folded
 
-A merge rewrites only the buckets its changes fall into. A version exists once its log folder does, so a failed merge
-leaves the table as it was and is simply run again. One writer at a time is assumed, as with any streaming sink.
-Every stored row says in which version it last changed and how; the rows a version changed are its change feed.
+A merge writes what it was given and nothing else. The current state is the newest base and the changes after it, reduced to
+the latest change per key; order, repetition and lateness of the changes do not matter. A folder counts once it holds the
+success marker of its write, and a merge that is run again under its name replaces its own folder.
 """
 
 from __future__ import annotations
 
-import json
-import re
+import uuid
 from collections.abc import Sequence
-from dataclasses import dataclass, field
-from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,225 +21,187 @@ from tidemark.operators.cdc import CHANGE_TYPE, DELETE, INSERT, POSTIMAGE, PREIM
 from tidemark.operators.quality import all_present
 
 COMMIT_VERSION = "_commit_version"
-_HIDDEN = ("_order", "_deleted", "_row_version", "_row_change")
-_LOG = "bucket int, data_version int, source string, batch_id bigint, schema string, version int"
+_HIDDEN = ("_order", "_deleted")
+_FOLDER = ("_v", "_batch")
 
 
-@dataclass
-class _Version:
-    number: int = 0
-    buckets: dict[int, int] = field(default_factory=dict)
-    batches: dict[str, int] = field(default_factory=dict)
-    schema: T.StructType | None = None
+class KeyedTable:
+    """One writer at a time is assumed, as with any streaming sink."""
 
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str]):
+        self.spark, self.path, self.keys = spark, path.rstrip("/"), list(keys)
 
-class KeyedTable:
-    """``buckets`` is fixed for the life of a table: a few GB each is a good size, in ``files_per_bucket`` files.
+    # -- folders -------------------------------------------------------------------------------------------------
 
-    The driver holds one log row per bucket and nothing else.
-    """
+    def _glob(self, pattern: str) -> list[str]:
+        """Paths under the table by a pattern, through the file system the session reads it with."""
+        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{pattern}")
+        system = hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        return [s.getPath().toString() for s in system.globStatus(hadoop) or []]
 
-    def __init__(
-        self, spark: SparkSession, path: str, keys: Sequence[str], buckets: int = 16, files_per_bucket: int = 1
-    ):
-        self.spark, self.path, self.keys = spark, path.rstrip("/"), list(keys)
-        self.bucket_count, self.files_per_bucket = buckets, files_per_bucket
+    def _remove(self, folder: str) -> None:
+        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
+        hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(hadoop, True)
 
-    # -- versions ------------------------------------------------------------------------------------------------
+    def _bytes(self, pattern: str) -> int:
+        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{pattern}")
+        system = hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        return sum(system.getContentSummary(s.getPath()).getLength() for s in system.globStatus(hadoop) or [])
 
-    def _log(self) -> DataFrame:
-        return self.spark.read.schema(_LOG).json(f"{self.path}/log")
+    @staticmethod
+    def _value(path: str, part: str) -> str:
+        return next(p for p in path.split("/") if p.startswith(f"{part}=")).split("=", 1)[1]
+
+    def _changes(self, batch: str = "*") -> dict[int, str]:
+        """The finished change folders by version."""
+        found = [p.rsplit("/", 1)[0] for p in self._glob(f"changes/_v=*/_batch={batch}/_SUCCESS")]
+        return {int(self._value(p, "_v")): p for p in found}
+
+    def _bases(self) -> list[int]:
+        return sorted(int(self._value(p, "_v")) for p in self._glob("base/_v=*/_SUCCESS"))
 
     def latest_version(self) -> int:
-        """The newest published version, 0 for a table that does not exist yet; lists the log, reads none of it."""
-        try:
-            logs = self._log().inputFiles()
-        except AnalysisException as error:
-            if "PATH_NOT_FOUND" in str(error):
-                return 0
-            raise
-        return max((int(re.search(r"/version=(\d+)/", f).group(1)) for f in logs), default=0)
-
-    def _load(self, number: int | None = None) -> _Version:
-        """The log of one version: at most one row per bucket and per source."""
-        number = self.latest_version() if number is None else number
-        state = _Version(number)
-        if number:
-            for row in self._log().filter(F.col("version") == number).collect():
-                if row.bucket is not None:
-                    state.buckets[row.bucket] = row.data_version
-                if row.source is not None:
-                    state.batches[row.source] = row.batch_id
-                if row.schema is not None:
-                    state.schema = T.StructType.fromJson(json.loads(row.schema))
-        return state
-
-    def _publish(self, state: _Version) -> int:
-        rows = [(b, v, None, None, None) for b, v in state.buckets.items()]
-        rows += [(None, None, s, n, None) for s, n in state.batches.items()]
-        rows.append((None, None, None, None, state.schema.json() if state.schema else None))
-        log = self.spark.createDataFrame(rows, _LOG.rsplit(",", 1)[0])
-        log.coalesce(1).write.mode("errorifexists").json(f"{self.path}/log/version={state.number}")
-        return state.number
+        """The newest version, 0 for a table that does not exist yet."""
+        return max([0, *self._changes(), *self._bases()])
 
     # -- reading -------------------------------------------------------------------------------------------------
 
-    def _stored(self, state: _Version, buckets: Sequence[int] | None = None) -> DataFrame:
-        wanted = {b: v for b, v in state.buckets.items() if buckets is None or b in buckets}
-        if not wanted:
-            return self.spark.createDataFrame([], state.schema)
-        paths = [f"{self.path}/data/_v={v}/_bucket={b}" for b, v in sorted(wanted.items())]
-        return self.spark.read.schema(state.schema).parquet(*paths).select(*state.schema.fieldNames())
-
-    def _visible(self, state: _Version) -> list[str]:
-        return [c for c in state.schema.fieldNames() if c not in _HIDDEN]
+    def _state(self, version: int | None = None) -> DataFrame:
+        """The latest change of every key as of a version, deletes included."""
+        version = self.latest_version() if version is None else version
+        base = max((b for b in self._bases() if b <= version), default=0)
+        folders = [p for v, p in sorted(self._changes().items()) if base < v <= version]
+        paths = [f"{self.path}/base/_v={base}"] * bool(base) + folders
+        if not paths:
+            raise ValueError(f"{self.path} has no version {version or ''}".rstrip())
+        rows = self.spark.read.option("mergeSchema", True).parquet(*paths)
+        rows = rows.drop(*_FOLDER)
+        return rows if len(paths) == 1 else latest_by_key(rows, self.keys, [F.col("_order")])
 
     def read(self, version: int | None = None) -> DataFrame:
-        """The table as of a version, the newest one by default."""
-        state = self._load(version)
-        if state.schema is None:
-            raise ValueError(f"{self.path} has no version {version or ''}".rstrip())
-        return self._stored(state).filter(~F.col("_deleted")).select(*self._visible(state))
+        """The table as of a version that compaction has not folded away, the newest one by default."""
+        return self._state(version).filter(~F.col("_deleted")).drop(*_HIDDEN)
+
+    def read_all(self) -> DataFrame:
+        """The latest change of every key with its ``_order`` and whether it is ``_deleted``."""
+        return self._state()
 
     def read_changes(self, start: int, end: int | None = None, preimages: bool = False) -> DataFrame:
-        """Row changes of the versions ``start`` to ``end``, both included."""
-        last = self._load(end)
-        written = set(self._written(start, last.number))
-        parts = []
-        for v in range(start, last.number + 1):
-            if v not in written:
-                continue
-            rows = self.spark.read.schema(last.schema).parquet(f"{self.path}/data/_v={v}")
-            feed = self._as_feed(rows.filter(F.col("_row_version") == v), self._visible(last))
-            parts.append(feed)
-            if preimages and v > 1:
-                old = self.read(v - 1).join(feed.filter(F.col(CHANGE_TYPE) == POSTIMAGE).select(*self.keys), self.keys)
-                parts.append(old.withColumns({CHANGE_TYPE: F.lit(PREIMAGE), COMMIT_VERSION: F.lit(v)}))
-        if not parts:
-            return self._as_feed(self.spark.createDataFrame([], last.schema), self._visible(last))
-        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+        """Row changes of the merges ``start`` to ``end``, both included, against the state before each.
 
-    def _written(self, start: int, end: int) -> list[int]:
-        """The versions in a range that hold data of their own."""
-        log = self._log().filter(F.col("version").between(start, end) & (F.col("data_version") == F.col("version")))
-        return [r[0] for r in log.select("version").distinct().collect()]
+        A merge is compared with the earlier rows of its own keys, so what it costs follows its size and the scan.
+        """
+        last, parts = self.latest_version() if end is None else end, []
+        finished = self._changes()
+        for v in [v for v in sorted(finished) if start <= v <= last]:
+            new = self.spark.read.parquet(finished[v])
+            before = self._state(v - 1) if v > 1 else new.limit(0)
+            parts.append(self._compared(before, new, v, preimages))
+        if not parts:
+            return self._compared(self._state(last).limit(0), self._state(last).limit(0), last, preimages)
+        out = parts[0]
+        for part in parts[1:]:
+            out = out.unionByName(part, allowMissingColumns=True)
+        return out
+
+    def _compared(self, before: DataFrame, new: DataFrame, version: int, preimages: bool) -> DataFrame:
+        columns = [c for c in new.columns if c not in _HIDDEN]
+        lacking = {c: F.lit(None).cast(new.schema[c].dataType) for c in columns if c not in before.columns}
+        old = before.withColumns(lacking).join(new.select(*self.keys), self.keys, "left_semi")
+        old = old.select(*self.keys, F.struct(*columns).alias("_old"), F.col("_order").alias("_was"), F.col("_deleted").alias("_gone"))
+        fresh = new.select(*self.keys, F.struct(*columns).alias("_new"), "_order", "_deleted")
+        rows = fresh.join(old, self.keys, "left").filter(F.col("_was").isNull() | (F.col("_order") > F.col("_was")))
+        lived = F.col("_was").isNotNull() & ~F.col("_gone")
+
+        def event(row: str, kind: str) -> Column:
+            return F.struct(*[F.col(row)[c].alias(c) for c in columns], F.lit(kind).alias(CHANGE_TYPE))
+
+        updated = F.array(*[event("_old", PREIMAGE)] * preimages, event("_new", POSTIMAGE))
+        events = (
+            F.when(~F.col("_deleted") & ~lived, F.array(event("_new", INSERT)))
+            .when(~F.col("_deleted"), updated)
+            .when(lived, F.array(event("_old", DELETE)))
+        )
+        return rows.filter(lived | ~F.col("_deleted")).select(F.inline(events)).withColumn(COMMIT_VERSION, F.lit(version))
 
     def change_stream(self, max_files: int | None = None) -> DataFrame:
-        """The change feed as a stream: each new version adds its changed rows.
+        """The change rows of every merge as a stream: upserts as post-images, and deletes.
 
-        A merge that failed and ran again may show its rows twice, which a keyed table downstream absorbs.
+        A change that loses to an earlier one, or comes twice, is in the stream as well; the sequence that it carries settles that
+        downstream, as it does here.
         """
-        state = self._load()
-        reader = self.spark.readStream.schema(
-            T.StructType(state.schema.fields + [T.StructField(c, T.IntegerType()) for c in ("_v", "_bucket")])
-        )
+        schema = self._state().schema
+        fields = [*schema.fields, T.StructField("_v", T.IntegerType()), T.StructField("_batch", T.StringType())]
+        reader = self.spark.readStream.schema(T.StructType(fields))
         if max_files is not None:
             reader = reader.option("maxFilesPerTrigger", max_files)
-        rows = reader.parquet(f"{self.path}/data").filter(F.col("_row_version") == F.col("_v"))
-        return self._as_feed(rows, self._visible(state))
-
-    @staticmethod
-    def _as_feed(rows: DataFrame, columns: list[str]) -> DataFrame:
-        return rows.filter(F.col("_row_change").isNotNull()).select(
-            *columns, F.col("_row_change").alias(CHANGE_TYPE), F.col("_row_version").alias(COMMIT_VERSION)
-        )
+        rows = reader.parquet(f"{self.path}/changes")
+        kind = F.when(F.col("_deleted"), F.lit(DELETE)).otherwise(F.lit(POSTIMAGE))
+        columns = [c for c in schema.fieldNames() if c not in _HIDDEN]
+        return rows.select(*columns, kind.alias(CHANGE_TYPE), F.col("_v").alias(COMMIT_VERSION))
 
     # -- writing -------------------------------------------------------------------------------------------------
 
-    def _bucket(self) -> Column:
-        return F.pmod(F.xxhash64(*self.keys), F.lit(self.bucket_count)).cast("int")
+    def merge(self, changes: DataFrame, sequence: Column, is_delete: Column, batch: str | None = None) -> int:
+        """Add change rows and return the version they led to; writes the last change of each of their keys, in one pass.
 
-    def merge(
-        self, changes: DataFrame, sequence: Column, is_delete: Column, source: str = "batch", batch_id: int | None = None
-    ) -> int:
-        """Apply change rows and return the version they led to.
-
-        A change wins over the stored row only if it comes later in sequence, so late, repeated and reordered rows
-        change nothing. Deleted keys stay behind as tombstones with their sequence. A batch id that was applied
-        before for the same source is skipped.
+        A change counts only if it comes later in sequence than what is known of its key. ``batch`` names the merge: one that was
+        stopped, or is run again, takes the place of its first try. Rows whose key is not whole cannot be merged; the
+        rules of the pipeline have put them into quarantine before.
         """
-        state = self._load()
-        if batch_id is not None and batch_id <= state.batches.get(source, -1):
-            return state.number
-        if batch_id is not None:
-            state.batches[source] = batch_id
+        batch = batch or uuid.uuid4().hex
+        again = self._glob(f"changes/_v=*/_batch={batch}")
+        version = int(self._value(again[0], "_v")) if again else self.latest_version() + 1
         changes = changes.filter(all_present(self.keys))
-        touched = [r[0] for r in changes.select(self._bucket().alias("b")).distinct().collect()]
-        state.number += 1
-        if not touched:
-            return self._publish(state)
-        columns = changes.columns
         order = F.struct(*version_order(changes, sequence, is_delete))
-        incoming = latest_by_key(changes.withColumn("_order", order), self.keys, [F.col("_order")])
-        new = incoming.select(*self.keys, F.struct(*columns).alias("_new"), F.col("_order").alias("_new_order"))
-        if state.schema is None:
-            merged = self._initial(new, columns)
-        else:
-            columns = [c for c in self._visible(state)] + [c for c in columns if c not in state.schema.fieldNames()]
-            merged = self._merged(self._stored(state, touched), new, columns, state.number)
-        state.schema = T.StructType([T.StructField(f.name, f.dataType) for f in merged.schema.fields])
-        self._write(merged, state.number, len(touched))
-        state.buckets.update({b: state.number for b in touched})
-        return self._publish(state)
-
-    def _write(self, rows: DataFrame, version: int, buckets: int) -> None:
-        """Store rows under their bucket, each bucket in ``files_per_bucket`` tasks of about equal size."""
-        part = F.pmod(F.hash(*self.keys), F.lit(self.files_per_bucket))
-        placed = rows.withColumn("_bucket", self._bucket()).repartition(
-            max(1, buckets * self.files_per_bucket), "_bucket", part
-        )
-        placed.write.mode("overwrite").partitionBy("_bucket").parquet(f"{self.path}/data/_v={version}")
-
-    def _initial(self, new: DataFrame, columns: list[str]) -> DataFrame:
-        deleted = F.col("_new_order.deleted")
-        return new.select(
-            *[F.col("_new")[c].alias(c) for c in columns],
-            F.col("_new_order").alias("_order"),
-            deleted.alias("_deleted"),
-            F.lit(1).alias("_row_version"),
-            F.when(~deleted, F.lit(INSERT)).alias("_row_change"),
-        )
+        rows = latest_by_key(changes.withColumn("_order", order), self.keys, [F.col("_order")])
+        rows = rows.withColumn("_deleted", F.col("_order.deleted"))
+        rows.write.mode("overwrite").parquet(f"{self.path}/changes/_v={version}/_batch={batch}")
+        return version
 
-    def _merged(self, stored: DataFrame, new: DataFrame, columns: list[str], version: int) -> DataFrame:
-        before = stored.select(*self.keys, F.struct(*stored.columns).alias("_old"))
-        rows = before.join(new, self.keys, "full_outer")
-        old, fresh = F.col("_old"), F.col("_new")
-        wins = fresh.isNotNull() & (old.isNull() | (F.col("_new_order") > old["_order"]))
-        was = old.isNotNull() & ~old["_deleted"]
-        gone = F.col("_new_order.deleted")
-        keep_old = ~wins | (gone & was)
-        change = F.when(~gone & was, POSTIMAGE).when(~gone, INSERT).when(was, DELETE)
-        known, arriving = stored.columns, new.schema["_new"].dataType.fieldNames()
-
-        def column(name: str) -> Column:
-            was_value = old[name] if name in known else F.lit(None)
-            is_value = fresh[name] if name in arriving else F.lit(None)
-            return F.when(keep_old, was_value).otherwise(is_value).alias(name)
-
-        return rows.select(
-            *[column(c) for c in columns],
-            F.when(wins, F.col("_new_order")).otherwise(old["_order"]).alias("_order"),
-            F.when(wins, gone).otherwise(old["_deleted"]).alias("_deleted"),
-            F.when(wins, F.lit(version)).otherwise(old["_row_version"]).alias("_row_version"),
-            F.when(wins, change).otherwise(old["_row_change"]).alias("_row_change"),
-        )
-
-    def rollback(self, version: int) -> int:
-        """Publish an earlier version as the newest one; consumers of the feed should read the snapshot anew."""
-        past, latest = self._load(version), self._load()
-        return self._publish(_Version(latest.number + 1, past.buckets, latest.batches, past.schema))
-
-    def compact(self, forget_before: Column | None = None) -> int:
-        """Rewrite every bucket into few files; ``forget_before`` also drops tombstones with an older sequence.
+    def compact(self, forget_before: Column | None = None, version: int | None = None) -> int:
+        """Fold the changes up to a version into a base; ``forget_before`` drops deleted keys with an older sequence.
 
-        Rows keep the version they changed in, so the compaction itself adds nothing to the change feed.
+        Changes stay until :meth:`clean`, so older versions can still be read.
         """
-        state = self._load()
-        rows = self._stored(state)
+        version = self.latest_version() if version is None else version
+        self._write_base(self._state(version), version, forget_before)
+        return version
+
+    def _write_base(self, rows: DataFrame, version: int, forget_before: Column | None = None) -> None:
         if forget_before is not None:
             rows = rows.filter(~F.col("_deleted") | (F.col("_order.sequence") >= forget_before))
-        state.number += 1
-        self._write(rows, state.number, len(state.buckets))
-        kept = self.spark.read.parquet(f"{self.path}/data/_v={state.number}").select("_bucket").distinct().collect()
-        state.buckets = {r[0]: state.number for r in kept}
-        return self._publish(state)
+        # A base is written beside what it is made of, then takes its place.
+        part = f"{self.path}/base/_part={uuid.uuid4().hex}"
+        rows.write.parquet(part)
+        target = f"{self.path}/base/_v={version}"
+        self._remove(target)
+        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path
+        hadoop(part).getFileSystem(self.spark._jsc.hadoopConfiguration()).rename(hadoop(part), hadoop(target))
+
+    def clean(self) -> None:
+        """Remove the changes and bases that the newest base replaces; call it when no stream still has to read them."""
+        base = max(self._bases(), default=0)
+        for version, folder in self._changes().items():
+            if version <= base:
+                self._remove(folder.rsplit("/", 1)[0])
+        for version in self._bases():
+            if version < base:
+                self._remove(f"{self.path}/base/_v={version}")
+
+    def upkeep(self, share: float = 0.5) -> bool:
+        """Compact and clean once the changes since the base hold more than ``share`` of its bytes."""
+        folders = [f for v, f in self._changes().items() if v > max(self._bases(), default=0)]
+        if len(folders) < 2 and self._bases():
+            return False
+        if self._bytes("changes/_v=*") <= share * self._bytes("base/_v=*"):
+            return False
+        self.compact()
+        self.clean()
+        return True
+
+    def rollback(self, version: int) -> int:
+        """Make an earlier version the newest one; readers of the change stream should read the table anew."""
+        newest = self.latest_version() + 1
+        self._write_base(self._state(version), newest)
+        return newest

@@ -201,10 +201,10 @@ def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("event_id")
     shared = F.when(key % 10 < 2, key - key % 2).otherwise(key)
-    rows = table(spark, sf_dir, "events").filter(F.col("event_type").isin("view", "click"))
-    rows = rows.select(
+    order = F.when((key % 10).isin(4, 5), key - key % 2).otherwise(key)
+    rows = table(spark, sf_dir, "events").select(
         F.concat(F.lit("R"), shared).alias("review_id"),
-        F.concat(F.lit("O"), key % 1500).alias("order_id"),
+        F.concat(F.lit("O"), order).alias("order_id"),
         (F.floor("value") % 7).cast("int").alias("review_score"),
         F.when(key % 3 != 0, F.concat(F.lit("title "), key)).alias("review_comment_title"),
         F.when(key % 2 != 0, F.col("props")).alias("review_comment_message"),

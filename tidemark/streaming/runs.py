@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime
 
@@ -26,8 +27,18 @@ def append(
     return writer.outputMode("append").trigger(availableNow=True).start()
 
 
-def for_each_batch(stream: DataFrame, checkpoint: str, step: Callable[[DataFrame, int], None]) -> StreamingQuery:
-    writer = stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
+def for_each_batch(stream: DataFrame, checkpoint: str, step: Callable[[DataFrame, str], None]) -> StreamingQuery:
+    """Run ``step`` on every micro-batch with a name that only a repetition of the same micro-batch has again.
+
+    The name begins with the id that the checkpoint was created with: a new checkpoint counts its batches from 0 but
+    never takes the place of an older one's.
+    """
+
+    def named(rows: DataFrame, batch_id: int) -> None:
+        marker = rows.sparkSession.read.text(f"{checkpoint}/metadata").first()[0]
+        step(rows, f"{json.loads(marker)['id']}-{batch_id}")
+
+    writer = stream.writeStream.foreachBatch(named).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start()
 
 
@@ -65,12 +76,10 @@ def read_stream(
 
 
 def scd1_stream(
-    stream: DataFrame, table: KeyedTable, sequence: Column, is_delete: Column, checkpoint: str, source: str = "stream"
+    stream: DataFrame, table: KeyedTable, sequence: Column, is_delete: Column, checkpoint: str
 ) -> StreamingQuery:
     """Keep a keyed table current from a stream of change rows."""
-    return for_each_batch(
-        stream, checkpoint, lambda rows, batch_id: table.merge(rows, sequence, is_delete, source, batch_id)
-    )
+    return for_each_batch(stream, checkpoint, lambda rows, batch: table.merge(rows, sequence, is_delete, batch))
 
 
 def silver_stream(
@@ -84,15 +93,18 @@ def silver_stream(
 ) -> StreamingQuery:
     """Split each micro-batch by the rules: good rows merge into the keyed table, the others into the quarantine.
 
-    Both outputs take the same tagged rows, so the rules are written once and each micro-batch has one source. The
-    quarantine writes to a folder of its own per micro-batch, which a repeated micro-batch replaces.
+    Tagged rows are kept for both outputs, so a micro-batch is read and judged once. The quarantine writes to a folder of
+    its own per micro-batch, which a repeated micro-batch replaces.
     """
 
-    def step(rows: DataFrame, batch_id: int) -> None:
-        marked = silver.tagged(rows.drop(*DAY), entity, **options)
-        bad = silver.quarantine_part(marked, entity, now)
-        bad.write.mode("overwrite").partitionBy("_quarantine_date").parquet(f"{quarantine_path}/batch={batch_id}")
-        table.merge(silver.clean_part(marked, now), silver.silver_sequence(), silver.is_delete(), entity, batch_id)
+    def step(rows: DataFrame, batch: str) -> None:
+        marked = silver.tagged(rows.drop(*DAY), entity, **options).persist()
+        try:
+            bad = silver.quarantine_part(marked, entity, now)
+            bad.write.mode("overwrite").partitionBy("_quarantine_date").parquet(f"{quarantine_path}/batch={batch}")
+            table.merge(silver.clean_part(marked, now), silver.silver_sequence(), silver.is_delete(), batch)
+        finally:
+            marked.unpersist()
 
     return for_each_batch(stream, checkpoint, step)
 
@@ -102,7 +114,6 @@ def gold_stream(
     stage: Callable[[DataFrame], DataFrame],
     table: KeyedTable,
     checkpoint: str,
-    source: str,
     sequence: Column | None = None,
 ) -> StreamingQuery:
     """Turn a silver change feed into gold rows and merge them, deletions included.
@@ -110,11 +121,11 @@ def gold_stream(
     ``stage`` closes over snapshots read before the run, so all micro-batches see the same other side.
     """
 
-    def step(rows: DataFrame, batch_id: int) -> None:
+    def step(rows: DataFrame, batch: str) -> None:
         staged = stage(rows)
         op = F.when(star.feed_is_delete(), "D").otherwise(F.col(OP))
         rows_out = staged.withColumn(OP, op).drop(*star.FEED_COLUMNS)
-        table.merge(rows_out, star.gold_sequence() if sequence is None else sequence, silver.is_delete(), source, batch_id)
+        table.merge(rows_out, star.gold_sequence() if sequence is None else sequence, silver.is_delete(), batch)
 
     return for_each_batch(changes, checkpoint, step)
 
