@@ -20,6 +20,20 @@ def test_scans_read_only_what_a_measure_needs(spark, sf):
     assert schemas and not any("o_custkey" in s for s in schemas)
 
 
+@pytest.mark.parametrize("name", ["total_gmv", "total_orders", "aov", "csat", "total_payment_value", "seller_count", "payment_mix"])
+def test_measures_join_only_what_they_use(spark, sf, name):
+    text = plan(REGISTRY[name].build(spark, sf))
+    assert "Join" not in text and text.count("FileScan") == 1
+
+
+@pytest.mark.parametrize("name", ["delivery_vs_review", "drill_across"])
+def test_reports_over_several_facts_read_each_stored_fact_once(spark, sf, name):
+    files = [re.sub(r".*/", "", f.rsplit("/", 1)[0]) for f in REGISTRY[name].build(spark, sf).inputFiles()]
+    scans = re.findall(r"FileScan parquet \[([^]]*)\]", plan(REGISTRY[name].build(spark, sf)))
+    assert set(files) <= {"fact_order_items", "fact_payments", "fact_reviews", "dim_order", "dim_date"}
+    assert 2 <= len(scans) <= 6 and not any("o_orderkey" in s for s in scans)
+
+
 def test_versions_are_reduced_before_the_shuffle(spark, sf):
     text = plan(REGISTRY["scd1_apply"].build(spark, sf))
     assert text.count("WindowGroupLimit") == 2

@@ -10,7 +10,7 @@ from tidemark.functions.columns import money
 from tidemark.operators.joins import splittable_join
 from tidemark.operators.profiling import missing_by_group
 from tidemark.operators.ranking import carts
-from tidemark.plans.metrics import RELATIONSHIPS, Star, measure
+from tidemark.plans.metrics import RELATIONSHIPS, Star, measure, without_order_keys
 
 KPIS = ("total_gmv", "total_orders", "total_customers", "aov", "csat", "on_time_pct")
 ALL_MEASURES = (*KPIS, "total_payment_value", "seller_count")
@@ -70,7 +70,7 @@ def monthly_gmv_orders(star: Star) -> DataFrame:
 
 def payment_mix(star: Star) -> DataFrame:
     """Paid value per payment type and its percentage of the total; one row per type of a fixed domain."""
-    by_type = star["fact_payments"].groupBy("payment_type").agg(F.sum("payment_value").alias("_paid"))
+    by_type = without_order_keys(star, "fact_payments").groupBy("payment_type").agg(F.sum("payment_value").alias("_paid"))
     paid = F.round("_paid", 2)
     whole = F.round(F.sum("_paid").over(Window.partitionBy()), 2)
     return by_type.select(

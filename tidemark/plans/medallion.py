@@ -29,8 +29,13 @@ _FACT_BUILDERS = {
 class Tables(Mapping):
     """Tables by name, each planned when it is first asked for."""
 
-    def __init__(self, builders: Mapping[str, Callable[[], DataFrame]]):
+    def __init__(self, builders: Mapping[str, Callable[[], DataFrame]], bare: Mapping[str, Callable[[], DataFrame]] | None = None):
         self._builders = {name: cache(build) for name, build in builders.items()}
+        self._bare = {name: cache(build) for name, build in (bare or {}).items()}
+
+    def bare(self, name: str) -> DataFrame:
+        """A table with NULL order keys, if it can be had without the join that finds them."""
+        return self._bare[name]() if name in self._bare else self[name]
 
     def __getitem__(self, name: str) -> DataFrame:
         return self._builders[name]()
@@ -50,6 +55,9 @@ def build_star(silver_rows: Callable[[str], DataFrame], now: datetime | None = N
     def fact(name: str, build: Callable[..., DataFrame]) -> Callable[[], DataFrame]:
         return lambda: build(rows(star.GOLD[name].source), tables["dim_order"], now, mode)
 
+    def bare(name: str, build: Callable[..., DataFrame]) -> DataFrame:
+        return build(rows(star.GOLD[name].source), None, now, mode)
+
     tables = Tables(
         {
             "dim_date": lambda: star.dim_date(rows("orders"), mode),
@@ -58,11 +66,22 @@ def build_star(silver_rows: Callable[[str], DataFrame], now: datetime | None = N
             "dim_product": lambda: star.dim_product(rows("products"), rows(names), now, mode),
             "dim_order": lambda: star.dim_order(rows("orders"), None, now, mode),
             **{name: fact(name, build) for name, build in _FACT_BUILDERS.items()},
-        }
+        },
+        {name: partial(bare, name, build) for name, build in _FACT_BUILDERS.items()},
     )
     return tables
 
 
+def store_star(spark: SparkSession, tables: Tables, silver_rows: Callable[[str], DataFrame], root: str, **options) -> dict[str, DataFrame]:
+    """The gold tables written once: dimensions first, then the facts against the stored orders."""
+    for name in ("dim_date", *DIMENSIONS):
+        tables[name].write.parquet(f"{root}/{name}")
+    orders = spark.read.parquet(f"{root}/dim_order")
+    for name, build in _FACT_BUILDERS.items():
+        build(silver_rows(star.GOLD[name].source), orders, **options).write.parquet(f"{root}/{name}")
+    return {name: spark.read.parquet(f"{root}/{name}") for name in tables}
+
+
 class Warehouse:
     """Bronze, silver and gold tables under one folder, kept current by :meth:`run`."""
 

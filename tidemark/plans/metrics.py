@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,13 +44,17 @@ _EDGES = {(r.table, r.dim): r for r in RELATIONSHIPS}
 
 @dataclass(frozen=True)
 class Measure:
-    """An aggregate over one table. ``parts`` are partial sums it can be rebuilt from, if there are any."""
+    """An aggregate over one table.
+
+    ``finish`` rebuilds it from partial sums, the ``parts``, and from the values of a ``distinct`` column, once each.
+    """
 
     table: str
     columns: tuple[str, ...]
     value: Callable[[], Column]
-    parts: Mapping[str, Callable[[], Column]] | None = None
-    finish: Callable[[], Column] | None = None
+    finish: Callable[[], Column]
+    parts: Mapping[str, Callable[[], Column]] = field(default_factory=dict)
+    distinct: str | None = None
 
 
 def _amount(column: str) -> Callable[[], Column]:
@@ -59,17 +63,14 @@ def _amount(column: str) -> Callable[[], Column]:
 
 def _summed(table: str, column: str) -> Measure:
     part = f"_sum_{column}"
-    return Measure(
-        table,
-        (column,),
-        lambda: money(column),
-        {part: _amount(column)},
-        lambda: money(part),
-    )
+    return Measure(table, (column,), lambda: money(column), lambda: money(part), {part: _amount(column)})
 
 
 def _counted(table: str, column: str) -> Measure:
-    return Measure(table, (column,), lambda: F.count_distinct(column))
+    def count() -> Column:
+        return F.count_distinct(column)
+
+    return Measure(table, (column,), count, count, distinct=column)
 
 
 MEASURES: dict[str, Measure] = {
@@ -80,18 +81,23 @@ MEASURES: dict[str, Measure] = {
         "fact_order_items",
         ("gmv_item", "order_id"),
         lambda: F.try_divide(money("gmv_item"), F.count_distinct("order_id")),
+        lambda: F.try_divide(money("_sum_gmv_item"), F.count_distinct("order_id")),
+        {"_sum_gmv_item": _amount("gmv_item")},
+        "order_id",
     ),
     "csat": Measure(
         "fact_reviews",
         ("review_score",),
         lambda: F.avg("review_score"),
-        {"_sum_score": lambda: F.sum("review_score"), "_count_score": lambda: F.count("review_score")},
         lambda: F.try_divide(F.sum("_sum_score"), F.sum("_count_score")),
+        {"_sum_score": lambda: F.sum("review_score"), "_count_score": lambda: F.count("review_score")},
     ),
     "on_time_pct": Measure(
         "dim_order",
         ("is_on_time", "is_delivered"),
         lambda: F.try_divide(F.count_if("is_on_time"), F.count_if("is_delivered")),
+        lambda: F.try_divide(F.sum("_on_time"), F.sum("_delivered")),
+        {"_on_time": lambda: F.count_if("is_on_time"), "_delivered": lambda: F.count_if("is_delivered")},
     ),
     "total_payment_value": _summed("fact_payments", "payment_value"),
     "seller_count": _counted("fact_order_items", "seller_id"),
@@ -131,20 +137,28 @@ def measure(
     return stacked.groupBy(*labels).agg(*[F.max(n).alias(n) for n in names])
 
 
+def without_order_keys(star: Star, table: str) -> DataFrame:
+    """A table whose order keys nobody asks for: a star of plans then leaves out the join that would find them."""
+    bare = getattr(star, "bare", None)
+    return star[table] if bare is None else bare(table)
+
+
 def _aggregate(
     star: Star, table: str, names: Sequence[str], by: Sequence[tuple[str, str]], where: Mapping[str, str]
 ) -> DataFrame:
-    rows = star[table]
-    if table in where:
-        rows = rows.filter(where[table])
     dims = list(dict.fromkeys([d for d, _ in by if d != table] + [d for d in where if d != table]))
     edges = [_EDGES[(table, d)] for d in dims]
     own = [a for d, a in by if d == table]
     measures = [MEASURES[n] for n in names]
-    early = bool(edges) and all(e.compact for e in edges) and all(m.parts for m in measures)
+    rows = star[table] if edges or own or table in where else without_order_keys(star, table)
+    if table in where:
+        rows = rows.filter(where[table])
+    distinct = {m.distinct for m in measures if m.distinct}
+    early = bool(edges) and all(e.compact for e in edges) and len(distinct) < 2
     if early:
         parts = {p: build for m in measures for p, build in m.parts.items()}
-        rows = rows.groupBy(*own, *[e.key for e in edges]).agg(*[b().alias(p) for p, b in parts.items()])
+        kept = dict.fromkeys([*own, *[e.key for e in edges], *distinct])
+        rows = rows.groupBy(*kept).agg(*[b().alias(p) for p, b in parts.items()]) if parts else rows.select(*kept).distinct()
     else:
         needed = dict.fromkeys([*own, *[e.key for e in edges], *[c for m in measures for c in m.columns]])
         rows = rows.select(*needed)

@@ -186,14 +186,16 @@ def dim_order(
     return _staged(orders, columns, now)
 
 
-def join_order_keys(rows: DataFrame, orders: DataFrame, *keys: str) -> DataFrame:
-    """Rows of any fact with keys of their order, NULL where the order is not known."""
+def join_order_keys(rows: DataFrame, orders: DataFrame | None, *keys: str) -> DataFrame:
+    """Rows of any fact with keys of their order, NULL where the order is not known, or if no orders are given."""
+    if orders is None:
+        return rows.withColumns({k: F.lit(None).cast("bigint") for k in keys})
     parent = [PARENT_AT] if PARENT_AT in orders.columns else []
     return splittable_join(rows, orders.select("order_id", *keys, *parent), "order_id", "left")
 
 
 def fact_order_items(
-    items: DataFrame, orders: DataFrame, now: datetime | None = None, mode: str = "xxhash64"
+    items: DataFrame, orders: DataFrame | None, now: datetime | None = None, mode: str = "xxhash64"
 ) -> DataFrame:
     rows = join_order_keys(_without_preimages(items), orders, "order_sk", "customer_sk", "purchase_date_sk")
     columns = [
@@ -216,7 +218,7 @@ def fact_order_items(
 
 
 def fact_payments(
-    payments: DataFrame, orders: DataFrame, now: datetime | None = None, mode: str = "xxhash64"
+    payments: DataFrame, orders: DataFrame | None, now: datetime | None = None, mode: str = "xxhash64"
 ) -> DataFrame:
     rows = join_order_keys(_without_preimages(payments), orders, "order_sk", "purchase_date_sk")
     columns = [
@@ -234,7 +236,7 @@ def fact_payments(
 
 
 def fact_reviews(
-    reviews: DataFrame, orders: DataFrame, now: datetime | None = None, mode: str = "xxhash64"
+    reviews: DataFrame, orders: DataFrame | None, now: datetime | None = None, mode: str = "xxhash64"
 ) -> DataFrame:
     rows = join_order_keys(_without_preimages(reviews), orders, "order_sk", "purchase_date_sk")
     columns = [

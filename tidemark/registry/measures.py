@@ -8,6 +8,7 @@ from tidemark.plans import analyses
 from tidemark.plans.metrics import measure
 from tidemark.registry.base import current, gold, prepared, register
 from tidemark.registry.sql import money
+from tidemark.registry.workspace import stored_star
 
 GMV = money("gmv_item")
 ON_TIME = "count(*) FILTER (WHERE is_on_time) / nullif(count(*) FILTER (WHERE is_delivered), 0)"
@@ -82,7 +83,7 @@ DRILL_ACROSS = """
 
 @register("delivery_vs_review", DRILL_ACROSS)
 def _(spark, sf):
-    return analyses.delivery_vs_review(gold(spark, sf))
+    return analyses.delivery_vs_review(stored_star(spark, sf))
 
 
 @register(
@@ -98,7 +99,7 @@ def _(spark, sf):
         GROUP BY year_month""",
 )
 def _(spark, sf):
-    return measure(gold(spark, sf), ["total_gmv", "total_payment_value", "csat"], by=["dim_date.year_month"])
+    return measure(stored_star(spark, sf), ["total_gmv", "total_payment_value", "csat"], by=["dim_date.year_month"])
 
 
 BY_CATEGORY = f"""
@@ -133,7 +134,7 @@ def _(spark, sf):
     ),
 )
 def _(spark, sf):
-    return analyses.state_drillthrough(gold(spark, sf), "SE")
+    return analyses.state_drillthrough(stored_star(spark, sf), "SE")
 
 
 @register(
@@ -270,7 +271,7 @@ _geo("seller")
         FROM fact_payments GROUP BY payment_installments""",
 )
 def _(spark, sf):
-    return analyses.installment_analysis(gold(spark, sf)["fact_payments"])
+    return analyses.installment_analysis(gold(spark, sf).bare("fact_payments"))
 
 
 @register(

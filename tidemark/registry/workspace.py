@@ -7,14 +7,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.entities import COMMIT_TS, ENTITIES
 from tidemark.plans import silver
-from tidemark.plans.medallion import Warehouse
-from tidemark.registry.base import KEY_MODE, NOW, cleaned, raw
+from tidemark.plans.medallion import Warehouse, store_star
+from tidemark.registry.base import KEY_MODE, NOW, cleaned, current, gold, raw
 from tidemark.registry.changes import ITEM, MIDWAY
 from tidemark.session import scratch
 from tidemark.sources.keyed import KeyedTable
@@ -77,3 +78,13 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
         return house
 
     return once(spark, sf_dir, "warehouse", build)
+
+
+def stored_star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The gold tables as a run leaves them behind, for queries that read several of them."""
+
+    def build(root: str) -> dict[str, DataFrame]:
+        rows = cache(lambda entity: current(spark, sf_dir, entity))
+        return store_star(spark, gold(spark, sf_dir), rows, root, now=NOW, mode=KEY_MODE)
+
+    return once(spark, sf_dir, "star", build)
