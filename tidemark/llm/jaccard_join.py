@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm import words
 from tidemark.llm.linking import connect
@@ -59,37 +60,52 @@ def _surplus(n: int) -> int:
     return 1 + n * SLACK // 100
 
 
-def _signature(common, width: int, percent: int):
-    kind = "struct<n:long, sig:binary, mark:long, lead:binary, prefix:array<long>>"
-
-    @F.arrow_udf(kind)
-    def signature(texts: pa.Array) -> pa.Array:
-        sizes, sigs, marks, leads, prefixes = [], [], [], [], []
-        for found in shingle_sets(texts, width):
-            n = len(found)
-            token = found >> np.uint64(8) | common.value[(found & np.uint64(_SKETCH - 1)).astype(np.int64)] << np.uint64(56)
-            needed = n - -(-percent * n // 100) + _surplus(n) if n else 0
-            prefix = np.sort(np.partition(token, needed - 1)[:needed]) if needed else token
-            one, two = words.mix(found).sum(dtype=np.uint64), words.mix(~found).sum(dtype=np.uint64)
-            sizes.append(n)
-            sigs.append(np.array([one, two]).tobytes())
-            marks.append(one)
-            leads.append(np.array([words.mix(prefix).sum(dtype=np.uint64), words.mix(~prefix).sum(dtype=np.uint64) + np.uint64(n)]).tobytes())
-            prefixes.append(prefix.view(np.int64))
-        ends = np.cumsum([0, *map(len, prefixes)], dtype=np.int32)
-        flat = pa.array(np.concatenate(prefixes) if prefixes else np.zeros(0, np.int64))
-        return pa.StructArray.from_arrays(
-            [
-                pa.array(sizes, pa.int64()),
-                pa.array(sigs, pa.binary()),
-                pa.array(np.array(marks, np.uint64).view(np.int64)),
-                pa.array(leads, pa.binary()),
-                pa.ListArray.from_arrays(pa.array(ends), flat),
-            ],
-            names=["n", "sig", "mark", "lead", "prefix"],
-        )
+def _marks(found: np.ndarray) -> tuple[np.uint64, np.uint64]:
+    """128 bits that tell a set of hashes from others."""
+    return words.mix(found).sum(dtype=np.uint64), words.mix(~found).sum(dtype=np.uint64)
+
+
+def _lists(parts: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, parts)], dtype=np.int32)
+    flat = np.concatenate(parts).view(np.int64) if parts else np.zeros(0, np.int64)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+
+
+def _signatures(docs: DataFrame, common, width: int, percent: int) -> DataFrame:
+    """``doc_id, at`` (a hash of it), size, set signature, its first half, and the prefix with its own signature."""
 
-    return signature
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, last in words.blocks(batch.column(2)):
+                rows = batch.slice(first, last - first)
+                sizes, sigs, marks, leads, prefixes = [], [], [], [], []
+                for found in shingle_sets(rows.column(2), width):
+                    n = len(found)
+                    token = found >> np.uint64(8) | common.value[(found & np.uint64(_SKETCH - 1)).astype(np.int64)] << np.uint64(56)
+                    needed = n - -(-percent * n // 100) + _surplus(n) if n else 0
+                    prefix = np.sort(np.partition(token, needed - 1)[:needed]) if needed else token
+                    one, two = _marks(found)
+                    sizes.append(n)
+                    sigs.append(np.array([one, two]).tobytes())
+                    marks.append(one)
+                    one, two = _marks(prefix)
+                    leads.append(np.array([one, two + np.uint64(n)]).tobytes())
+                    prefixes.append(prefix)
+                made = [
+                    pa.array(sizes, pa.int64()),
+                    pa.array(sigs, pa.binary()),
+                    pa.array(np.array(marks, np.uint64).view(np.int64)),
+                    pa.array(leads, pa.binary()),
+                    _lists(prefixes),
+                ]
+                names = ["doc_id", "at", "n", "sig", "mark", "lead", "prefix"]
+                yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), *made], names=names)
+
+    long = T.LongType()
+    types = {"at": long, "n": long, "sig": T.BinaryType(), "mark": long, "lead": T.BinaryType(), "prefix": T.ArrayType(long)}
+    fields = [T.StructField(n, t) for n, t in types.items()]
+    kind = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), *fields])
+    return docs.select("doc_id", F.xxhash64("doc_id").alias("at"), "text").mapInArrow(sign, kind)
 
 
 def _shared(bits):
@@ -109,26 +125,18 @@ def _shared(bits):
     return shared
 
 
-def _contained(bits):
-    @F.arrow_udf("boolean")
-    def contained(hashes: pa.Array) -> pa.Array:
-        return pa.array(bits.value.has(hashes.to_numpy(zero_copy_only=False).view(np.uint64)))
-
-    return contained
-
+def _sets(docs: DataFrame, bits, width: int) -> DataFrame:
+    """``sig, items``: the whole sets of the documents whose id may be in a bitmap."""
 
-def _set(width: int):
-    @F.arrow_udf("struct<sig:binary, items:array<long>>")
-    def whole(texts: pa.Array) -> pa.Array:
-        sets = list(shingle_sets(texts, width))
-        sigs = [np.array([words.mix(s).sum(dtype=np.uint64), words.mix(~s).sum(dtype=np.uint64)]).tobytes() for s in sets]
-        ends = np.cumsum([0, *map(len, sets)], dtype=np.int32)
-        flat = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
-        return pa.StructArray.from_arrays(
-            [pa.array(sigs, pa.binary()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], names=["sig", "items"]
-        )
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            chosen = batch.filter(pa.array(bits.value.has(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64))))
+            for first, last in words.blocks(chosen.column(1)):
+                sets = list(shingle_sets(chosen.column(1).slice(first, last - first), width))
+                sigs = [np.array(_marks(s)).tobytes() for s in sets]
+                yield pa.RecordBatch.from_arrays([pa.array(sigs, pa.binary()), _lists(sets)], names=["sig", "items"])
 
-    return whole
+    return docs.select(F.xxhash64("doc_id").alias("at"), "text").mapInArrow(whole, "sig binary, items array<bigint>")
 
 
 def similar_documents(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -145,8 +153,7 @@ def similar_documents(docs: DataFrame, width: int = WIDTH, percent: int = PERCEN
     document in ``component_id``; a null id is never the smallest. An empty table gives an empty result.
     """
     common = _common(docs, width)
-    whole = docs.select("doc_id", _signature(common, width, percent)("text").alias("s"), F.xxhash64("doc_id").alias("at"))
-    whole = stored(whole.select("doc_id", "at", "s.*"), "signatures")
+    whole = stored(_signatures(docs, common, width, percent), "signatures")
     some = whole.filter("n > 0")
     tokens = some.select("mark", F.explode("prefix").alias("token"))
     several = tokens.groupBy("token").agg(F.min("mark").alias("lo"), F.max("mark").alias("hi")).filter("lo <> hi").select("token")
@@ -162,7 +169,7 @@ def similar_documents(docs: DataFrame, width: int = WIDTH, percent: int = PERCEN
     members = groups.select("gid", "n", F.explode("tokens").alias("t")).select(F.col("t.token").alias("bucket"), "gid", "n", "t.pos")
     membership = stored(classes.select("lead", F.col("sig").alias("id")).join(groups.select("lead", "gid"), "lead").select("gid", "id"), "membership")
     chosen = bitmap(classes, "at", classes.count())
-    sets = docs.filter(_contained(chosen)(F.xxhash64("doc_id"))).select(_set(width)("text").alias("s")).select("s.*")
+    sets = _sets(docs, chosen, width)
     sets = stored(sets.join(classes.select("sig"), "sig", "left_semi").groupBy("sig").agg(F.first("items").alias("items")), "sets")
 
     def verify(pairs: DataFrame) -> DataFrame:

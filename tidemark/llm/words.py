@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes handled at once; bounds the working memory of a task whatever the size of its batch.
-BLOCK = 1 << 21
+BLOCK = 1 << 19
 _BASE = 0x9E3779B97F4A7C15  # odd, so that it has an inverse modulo 2^64
 
 
