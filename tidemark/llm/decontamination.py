@@ -172,6 +172,6 @@ def _verdict(rows: DataFrame, share: int) -> DataFrame:
 def without_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, with their columns."""
     bad = contamination(docs, items).filter("contaminated").select("doc_id", "key").distinct()
-    rows = docs.select("*", document_key().alias("_key"))
-    same = (F.col("r._key") == F.col("b.key")) & F.col("r.doc_id").eqNullSafe(F.col("b.doc_id"))
-    return rows.alias("r").join(bad.alias("b"), same, "left_anti").drop("_key")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), document_key().alias("key"))
+    same = (F.col("r.key") == F.col("b.key")) & F.col("r.row.doc_id").eqNullSafe(F.col("b.doc_id"))
+    return rows.alias("r").join(bad.alias("b"), same, "left_anti").select("r.row.*")

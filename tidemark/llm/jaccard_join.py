@@ -147,7 +147,7 @@ def similar_documents(docs: DataFrame, width: int = WIDTH, percent: int = PERCEN
     2. Shingles in the prefixes of two different sets are the shared ones. Only they go further, found through a bitmap
        of bounded size, and only documents with as many of them as a partner must share: a common passage is not enough. Documents with the same prefix and size form one group.
     3. Groups meet in the buckets of their shared shingles; size and position bounds reject pairs of groups. Pairs that pass are
-       expanded to members and verified on whole sets (see :mod:`tidemark.llm.linking` for how hot buckets are handled).
+       expanded to members, must share enough of their prefixes, and are verified on whole sets (see :mod:`tidemark.llm.linking` for how hot buckets are handled).
 
     Nulls and empty texts have no shingles and link with nothing. Equal sets are one class from the start. Rows with one id are one
     document in ``component_id``; a null id is never the smallest. An empty table gives an empty result.
@@ -160,19 +160,37 @@ def similar_documents(docs: DataFrame, width: int = WIDTH, percent: int = PERCEN
     several = stored(several, "shared")
     bits = bitmap(several, "token", several.count())
     smallest = F.ceil(F.col("n") * percent / 100)  # of a partner
-    near = some.select("doc_id", "at", "n", "sig", "lead", _shared(bits)("prefix").alias("tokens"))
+    near = some.select("doc_id", "at", "n", "sig", "lead", F.element_at("prefix", -1).alias("last"), _shared(bits)("prefix").alias("tokens"))
     near = near.filter(F.size("tokens") >= 1 + F.floor(smallest * SLACK / 100))
-    classes = near.groupBy("sig").agg(*[F.first(c).alias(c) for c in ("at", "n", "lead", "tokens")])
+    classes = near.groupBy("sig").agg(*[F.first(c).alias(c) for c in ("at", "n", "lead", "last", "tokens")])
     classes = stored(classes, "classes")
     groups = classes.groupBy("lead").agg(F.min("sig").alias("gid"), F.first("n").alias("n"), F.first("tokens").alias("tokens"))
     groups = stored(groups, "groups")
     members = groups.select("gid", "n", F.explode("tokens").alias("t")).select(F.col("t.token").alias("bucket"), "gid", "n", "t.pos")
     membership = stored(classes.select("lead", F.col("sig").alias("id")).join(groups.select("lead", "gid"), "lead").select("gid", "id"), "membership")
-    chosen = bitmap(classes, "at", classes.count())
-    sets = _sets(docs, chosen, width)
-    sets = stored(sets.join(classes.select("sig"), "sig", "left_semi").groupBy("sig").agg(F.first("items").alias("items")), "sets")
+    prefixes = classes.select("sig", "n", "last", F.col("tokens.token").alias("shared"))
+
+    def possible(pairs: DataFrame) -> DataFrame:
+        """The pairs whose prefixes share so much that the sets still may.
+
+        What two sets share beyond their prefixes lies behind the end of the prefix that ends first, in the order of shingles.
+        """
+        for side in "ab":
+            columns = [F.col(c).alias(f"{c}_{side}") for c in ("n", "last", "shared")]
+            pairs = pairs.join(prefixes.select(F.col("sig").alias(side), *columns), side)
+        behind = {x: F.ceil(F.col(f"n_{x}") * percent / 100) - 1 - F.floor(F.col(f"n_{x}") * SLACK / 100) for x in "ab"}
+        behind = F.when(F.col("last_a") <= F.col("last_b"), behind["a"]).otherwise(behind["b"])
+        most = F.size(F.array_intersect("shared_a", "shared_b")) + behind
+        return pairs.filter((100 + percent) * most >= percent * (F.col("n_a") + F.col("n_b"))).select("a", "b")
 
     def verify(pairs: DataFrame) -> DataFrame:
+        """The pairs that link, by their whole sets; those are made anew for the documents in question only."""
+        pairs = stored(possible(pairs), "possible")
+        ids = pairs.select(F.col("a").alias("sig")).unionAll(pairs.select("b")).distinct()
+        wanted = stored(ids.join(classes.select("sig", "at"), "sig"), "wanted")
+        sets = _sets(docs, bitmap(wanted, "at", wanted.count()), width)
+        sets = sets.join(wanted.select("sig"), "sig", "left_semi").groupBy("sig").agg(F.first("items").alias("items"))
+        sets = stored(sets, "sets")
         left = sets.select(F.col("sig").alias("a"), F.col("items").alias("x"))
         right = sets.select(F.col("sig").alias("b"), F.col("items").alias("y"))
         common = F.size(F.array_intersect("x", "y"))

@@ -81,6 +81,7 @@ class Parser:
             table[:, 1] = -1  # an unknown letter is a phrase of its own
             first = np.where(table[0] >= 0, table[0], 0)
             table = np.where(table >= 0, base + table * self.width, (base + first * self.width) | _END)
+            table[0] |= _END  # what is read in the first state, after an unknown letter as well, begins a phrase
             tables.append(table.astype(np.int32).ravel())
             self.roots.append(base)
             self.bits.append(math.log2(len(text) + 1))
@@ -111,7 +112,7 @@ class Parser:
             steps = np.ascontiguousarray(padded[order].T)
             alive = np.searchsorted(-left[order], -np.arange(WINDOW), "left")  # windows longer than each step
             state = np.repeat(np.array(self.roots, np.int32)[:, None], len(left), 1)
-            total = np.ones(state.shape, np.int32)
+            total = np.zeros(state.shape, np.int32)
             for k in range(WINDOW):
                 n = alive[k]
                 if not n:
