@@ -90,7 +90,7 @@ def test_a_bucket_is_not_compared_pair_by_pair(spark):
         seen.append(pairs.count())
         return pairs
 
-    members = spark.range(600).select(F.lit(1).alias("bucket"), F.col("id").alias("gid"), F.col("id").alias("rank"))
+    members = spark.range(600).select(F.lit(1).alias("bucket"), F.col("id").alias("gid"), F.lit(1).alias("size"), F.col("id").alias("rank"))
     roots = connect(members, verify, rank=("rank",))
     assert {tuple(r) for r in roots.collect()} == {(i, 0) for i in range(600)}
     assert sum(seen) == 599

@@ -164,9 +164,10 @@ def similar_documents(docs: DataFrame, width: int = WIDTH, percent: int = PERCEN
     near = near.filter(F.size("tokens") >= 1 + F.floor(smallest * SLACK / 100))
     classes = near.groupBy("sig").agg(*[F.first(c).alias(c) for c in ("at", "n", "lead", "last", "tokens")])
     classes = stored(classes, "classes")
-    groups = classes.groupBy("lead").agg(F.min("sig").alias("gid"), F.first("n").alias("n"), F.first("tokens").alias("tokens"))
+    groups = classes.groupBy("lead").agg(F.min("sig").alias("gid"), F.first("n").alias("n"), F.first("tokens").alias("tokens"), F.count(F.lit(1)).alias("size"))
     groups = stored(groups, "groups")
-    members = groups.select("gid", "n", F.explode("tokens").alias("t")).select(F.col("t.token").alias("bucket"), "gid", "n", "t.pos")
+    members = groups.select("gid", "n", "size", F.explode("tokens").alias("t"))
+    members = members.select(F.col("t.token").alias("bucket"), "gid", "size", "n", "t.pos")
     membership = stored(classes.select("lead", F.col("sig").alias("id")).join(groups.select("lead", "gid"), "lead").select("gid", "id"), "membership")
     prefixes = classes.select("sig", "n", "last", F.col("tokens.token").alias("shared"))
 

@@ -59,32 +59,34 @@ def connect(
 ) -> DataFrame:
     """``id, root`` of all items that link with another one.
 
-    ``members`` (bucket, gid, ``rank`` and ``payload`` columns) are groups in buckets; ``membership`` (gid, id) lists the items of a
-    group, one of which is called like the group. ``rank`` decides the pivot, smallest first. ``admissible`` may reject a
-    pair by its columns. ``verify`` keeps the linked ones of the item pairs (a, b).
+    ``members`` (bucket, gid, size, ``rank`` and ``payload`` columns) are groups of ``size`` items in buckets; ``membership`` (gid, id) lists
+    the items of a group, one of which is called like the group. ``rank`` decides the pivot, smallest first. ``admissible`` may reject
+    a pair by its columns. ``verify`` keeps the linked ones of the item pairs (a, b).
     """
-    if membership is None:
-        membership = members.select("gid", F.col("gid").alias("id")).distinct()
     payload = [c for c in payload if c not in rank]
     fields = [*rank, "gid", *payload]
 
     def side(prefix: str) -> Callable[[str], Column]:
         return lambda c: F.col(f"{prefix}{c}")
 
-    pivots = members.groupBy("bucket").agg(F.min(F.struct(*fields)).alias("p"))
-    pivots = pivots.select("bucket", *[F.col(f"p.{c}").alias(f"p_{c}") for c in fields])
+    pivots = members.groupBy("bucket").agg(F.min(F.struct(*fields)).alias("p"), F.sum("size").alias("items")).filter("items > 1")
+    pivots = stored(pivots.select("bucket", "items", *[F.col(f"p.{c}").alias(f"p_{c}") for c in fields]), "pivots")
     met = members.select("bucket", *[F.col(c).alias(f"m_{c}") for c in fields]).join(pivots, "bucket")
     star = met.filter(admissible(side("p_"), side("m_"))).select("p_gid", F.col("m_gid").alias("gid")).distinct()
-    star = star.join(membership, "gid").filter("p_gid <> id").select(F.col("p_gid").alias("a"), F.col("id").alias("b"))
+    if membership is not None:
+        star = star.join(membership, "gid")
+    star = star.select(F.col("p_gid").alias("a"), F.col("gid" if membership is None else "id").alias("b")).filter("a <> b")
     first = stored(verify(star), "star")
     found = stored(components(first), "found")
 
     def rooted(df: DataFrame, key: str, name: str) -> DataFrame:
         return df.join(found.select(F.col("id").alias(key), F.col("root").alias(name)), key, "left").withColumn(name, F.coalesce(name, key))
 
-    items = rooted(members.join(membership, "gid").select("bucket", "id", *rank, *payload), "id", "root")
-    centres = rooted(pivots.select("bucket", F.col("p_gid").alias("pivot")), "pivot", "pivot_root")
-    placed = stored(items.join(centres, "bucket"), "placed")
+    # A bucket of two has been compared in full. In the others, those with anything outside the pivot's group are still open.
+    centres = rooted(pivots.filter("items > 2").select("bucket", F.col("p_gid").alias("pivot")), "pivot", "pivot_root")
+    items = members.select("bucket", "gid", *rank, *payload).join(centres, "bucket")
+    items = items.withColumn("id", F.col("gid")) if membership is None else items.join(membership, "gid")
+    placed = stored(rooted(items.drop("gid"), "id", "root"), "placed")
     whole = placed.groupBy("bucket").agg(F.max(F.col("root") != F.col("pivot_root")).alias("open")).filter("open").select("bucket")
     placed = placed.join(whole, "bucket", "left_semi")
     cols = ["id", "root", "pivot", "pivot_root", *rank, *payload]
