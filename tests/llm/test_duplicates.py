@@ -94,3 +94,15 @@ def test_a_bucket_is_not_compared_pair_by_pair(spark):
     roots = connect(members, verify, rank=("rank",))
     assert {tuple(r) for r in roots.collect()} == {(i, 0) for i in range(600)}
     assert sum(seen) == 599
+
+
+def test_bitmaps_lose_nothing(spark):
+    import numpy as np
+
+    from tidemark.llm.store import bitmap
+
+    df = spark.range(2000).select(F.xxhash64("id").alias("h"))
+    bits = bitmap(df, "h", 2000).value
+    known = np.array([r.h for r in df.collect()], np.int64).view(np.uint64)
+    others = np.array([r.h for r in spark.range(5000, 25000).select(F.xxhash64("id").alias("h")).collect()], np.int64).view(np.uint64)
+    assert bits.has(known).all() and bits.has(others).mean() < 0.02

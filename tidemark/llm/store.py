@@ -25,9 +25,11 @@ def bitmap(hashes: DataFrame, column: str, rows: int):
     """A broadcast :class:`Bits` of a column of 64-bit hashes, with about 16 bits for each of ``rows``."""
     spark = hashes.sparkSession
     bits = min(MAX_BITS, max(16, math.ceil(math.log2(16 * rows + 1))))
-    slot = F.col(column).bitwiseAND(F.lit((1 << bits) - 1)) + 1
+    hash_ = F.col(column)
+    folded = [hash_, *[hash_.bitwiseXOR(F.shiftrightunsigned(hash_, s)) for s in Bits.SHIFTS]]
+    slots = F.array(*[h.bitwiseAND(F.lit((1 << bits) - 1)) + 1 for h in folded])
     parts = (
-        hashes.select(slot.alias("_slot"))
+        hashes.select(F.explode(slots).alias("_slot"))
         .groupBy(F.expr("bitmap_bucket_number(_slot)").alias("bucket"))
         .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(_slot))").alias("part"))
     )

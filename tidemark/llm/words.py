@@ -140,7 +140,10 @@ def sequence_hash(hashes: np.ndarray) -> int:
 
 
 class Bits:
-    """A bitmap over hashes: false for a hash never added, and seldom true for another one."""
+    """A bitmap over hashes, three bits for each: false for a hash never added, and seldom true for another one."""
+
+    #: How far the hash is shifted before it is folded onto itself, for the second and third bit.
+    SHIFTS = (19, 37)
 
     def __init__(self, parts: dict[int, bytes], bits: int):
         self.bits = bits
@@ -151,5 +154,12 @@ class Bits:
             self.data[at : at + len(piece)] = piece
 
     def has(self, hashes: np.ndarray) -> np.ndarray:
+        found = self._bit(hashes)
+        for shift in self.SHIFTS:
+            some = np.nonzero(found)
+            found[some] = self._bit(hashes[some] ^ (hashes[some] >> np.uint64(shift)))
+        return found
+
+    def _bit(self, hashes: np.ndarray) -> np.ndarray:
         at = hashes & np.uint64((1 << self.bits) - 1)
         return (self.data[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & np.uint8(1) == 1
