@@ -197,6 +197,34 @@ def _(spark, sf):
     )
 
 
+_ACCEPTED = """
+    WITH c AS (
+        SELECT order_id, order_status, order_purchase_timestamp AS bought, "OP" AS op, 0 AS later FROM raw_orders
+        UNION ALL SELECT order_id, 'delivered', order_purchase_timestamp, 'U', 1 FROM raw_orders WHERE {updated}
+        UNION ALL SELECT order_id, order_status, order_purchase_timestamp, 'D', 1 FROM raw_orders WHERE {deleted})
+    SELECT order_id, order_status FROM (
+        SELECT * FROM c
+        WHERE op = 'D' OR (bought IS NOT NULL AND order_status IN ('delivered', 'shipped', 'canceled', 'unavailable',
+                           'invoiced', 'processing', 'created', 'approved'))
+        QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY later DESC) = 1)
+    WHERE op <> 'D'"""
+_UPDATED, _DELETED = "CAST(substr(order_id, 2) AS BIGINT) % 10 = 1", "CAST(substr(order_id, 2) AS BIGINT) % 10 = 2"
+
+
+@register("order_updates_and_deletes", _ACCEPTED.format(updated=_UPDATED, deleted=_DELETED))
+def _(spark, sf):
+    """One order in ten is delivered a day later, and one in ten deleted; both arrive in a second delivery."""
+    root, orders = scratch(spark, "order-changes"), raw(spark, sf, "orders")
+    later = F.lit("9999-01-01").cast("timestamp_ntz")
+    updates = orders.filter(_UPDATED).withColumns({"order_status": F.lit("delivered"), OP: F.lit("U"), COMMIT_TS: later})
+    deletes = orders.filter(_DELETED).withColumns({OP: F.lit("D"), COMMIT_TS: later})
+    table = KeyedTable(spark, f"{root}/orders", ["order_id"])
+    for part in (orders, updates.unionByName(deletes)):
+        clean = silver.clean(part.withColumn("_ingested_at", F.lit(str(NOW)).cast("timestamp_ntz")), "orders", NOW)
+        table.merge(clean, silver.silver_sequence(), silver.is_delete())
+    return table.read().select("order_id", "order_status")
+
+
 @register("late_fact_repair", "SELECT review_sk, order_sk, purchase_date_sk, review_id, order_id, review_score FROM fact_reviews")
 def _(spark, sf):
     """Facts staged while only the earlier orders were known, repaired once the others are."""

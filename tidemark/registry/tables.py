@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from tidemark.entities import COMMIT_TS, ENTITIES
 from tidemark.operators.cdc import evolve_schema
 from tidemark.plans import silver, star
-from tidemark.registry.base import KEY_MODE, NOW, cleaned, current, gold, raw, register
+from tidemark.registry.base import KEY_MODE, NOW, cleaned, current, gold, quarantined, raw, register
 from tidemark.registry.changes import ITEM, ITEM_ROW, ITEM_SQL
+from tidemark.registry.sql import SHORT
 from tidemark.registry.workspace import FIRST_DAY, early, item_table, landing, late
 from tidemark.session import scratch
 from tidemark.sources import files
@@ -93,6 +94,31 @@ def _(spark, sf):
     return spark.read.schema(rows.schema).parquet(path)
 
 
+def _layout(entity, spread):
+    """The business layout of a silver table: one folder per value of the column reports filter on."""
+
+    @register(f"write_partitioned_{SHORT[entity]}", f"SELECT * FROM silver_{SHORT[entity]}")
+    def _(spark, sf):
+        path = scratch(spark, f"{entity}-laid-out")
+        rows = current(spark, sf, entity)
+        files.write_partitioned(rows, path, [ENTITIES[entity].partition_by], [spread])
+        return spark.read.schema(rows.schema).parquet(path)
+
+
+for _entity, _spread in (("sellers", "seller_id"), ("products", "product_id"), ("orders", "order_id")):
+    _layout(_entity, _spread)
+
+
+@register(
+    "write_partitioned_quarantine",
+    """SELECT order_id, order_item_id, price, _quarantine_reason, _quarantine_table_name FROM bad_items""",
+)
+def _(spark, sf):
+    path = scratch(spark, "quarantine-by-day")
+    files.write_partitioned(quarantined(spark, sf, "order_items"), path, ["_quarantine_date"], ITEM)
+    return spark.read.parquet(path).select(*ITEM, "price", "_quarantine_reason", "_quarantine_table_name")
+
+
 @register("write_clustered", "SELECT * FROM fact_order_items")
 def _(spark, sf):
     path, table = scratch(spark, "clustered"), star.GOLD["fact_order_items"]
