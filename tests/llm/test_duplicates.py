@@ -41,19 +41,19 @@ def test_exact_dedup_runs_no_python(spark):
         assert "Python" not in text and "Arrow" not in text
 
 
-def edited(n, base, seed):
+def edited(n, base, seed, first=100):
     """Copies of a text with a few words changed, cut or left alone."""
     r, out = random.Random(seed), []
     for i in range(n):
         w = list(base)
         for _ in range(r.choice([0, 1, 1, 2, 2, 3, 4])):
             w[r.randrange(len(w))] = f"z{r.randrange(10**6) if r.random() < 0.6 else r.randrange(4)}"
-        out.append((100 + i, " ".join(w[: r.randrange(40, len(w))] if r.random() < 0.3 else w)))
+        out.append((first + i, " ".join(w[: r.randrange(40, len(w))] if r.random() < 0.3 else w)))
     return out
 
 
 def test_similar_documents_equal_brute_force(spark):
-    rows = [(i, t) for i, t in HARD if i is not None and i not in (8, 9)] + edited(150, words(60, 1), 2) + edited(30, words(200, 3), 4)
+    rows = [(i, t) for i, t in HARD if i is not None and i not in (8, 9)] + edited(150, words(60, 1), 2) + edited(30, words(200, 3), 4, 500)
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.similar_documents(documents(spark, rows)).collect()}
     assert got == similar(rows)
 
