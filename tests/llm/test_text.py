@@ -11,8 +11,9 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tests.llm.brute import HARD, documents, lower
+from tests.llm.brute import HARD, components, documents, lower
 from tidemark.llm import chat, decontamination, fuzzy_lines, language, licences, packing, tokens, toxicity, words
+from tidemark.llm.line_keys import line_keys
 
 
 @pytest.fixture(scope="module")
@@ -338,6 +339,31 @@ def test_lines_equal_brute_force(spark):
     assert fuzzy_lines.line_report(df.limit(0)).count() == 0
 
 
+def test_lines_link_by_edit_similarity_alone(spark):
+    r, rows = random.Random(11), []
+    vocab = ["".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randrange(2, 10))) for _ in range(400)]
+    for i in range(120):
+        line = r.choices(vocab, k=r.choice([8, 10, 12, 20, 40]))
+        other = list(line)
+        other[r.randrange(len(line))] = r.choice(vocab)
+        rows += [(2 * i, " ".join(line)), (2 * i + 1, " ".join(other) + r.choice(["", ",", "!"]))]
+    links = [(a, b) for a, x in rows for b, y in rows if a < b and fuzzy_lines.edit_distance(x, y) <= max(len(x), len(y)) // 5]
+    found = components([i for i, _ in rows], links)
+    got = {x.doc_id: x.n_dropped for x in fuzzy_lines.line_report(documents(spark, rows)).collect()}
+    assert got == {i: int(found[i] != i) for i, _ in rows} and sum(got.values()) > 30
+
+
+def test_keys_of_lines_that_differ_in_one_place():
+    r = random.Random(12)
+    for _ in range(3000):
+        x = "".join(r.choice("abcdeé 日😀") for _ in range(r.randrange(1, 128)))
+        at, most = r.randrange(len(x) + 1), len(x) // 5
+        y = x[:at] + "".join(r.choice("xyz") for _ in range(r.randrange(most + 1))) + x[at + r.randrange(most + 1) :]
+        if fuzzy_lines.close(x, y) and len(y) < 128 and (len(x) > 14) == (len(y) > 14):
+            keys, ends = line_keys([x, y])
+            assert set(keys[: ends[1]]) & set(keys[ends[1] :])
+
+
 def test_lines_of_hard_rows(spark):
     got = Counter((r.doc_id, r.n_lines, r.n_dropped) for r in fuzzy_lines.line_report(documents(spark, HARD)).collect())
     assert got[(8, 1, 0)] == 2 and got[(3, 2, 0)] == 1 and got[(None, 1, 0)] == 2 and sum(got.values()) == len(HARD)

@@ -49,7 +49,9 @@ _BYTE_VALUE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))[_LOWER]
 
 
 @lru_cache(maxsize=2)
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``n + 1`` powers modulo 2^64 of the base of word hashes, and of its inverse."""
+
     def run(base: int) -> np.ndarray:
         out = np.full(n + 1, base, np.uint64)
         out[0] = 1
@@ -93,7 +95,7 @@ def spans(raw: np.ndarray, offsets: np.ndarray, members: np.ndarray) -> tuple[np
         after = np.concatenate((inside[1:], [False]))
         s = np.flatnonzero(inside & (~before | first[:-1]))
         e = np.flatnonzero(inside & (~after | first[1:])) + 1
-        power, inverse = _powers(max(BLOCK, 1 << (len(part) - 1).bit_length()))
+        power, inverse = powers(max(BLOCK, 1 << (len(part) - 1).bit_length()))
         total = np.zeros(len(part) + 1, np.uint64)
         np.cumsum(_BYTE_VALUE[part] * power[: len(part)], out=total[1:])
         starts.append(s + at)
