@@ -260,6 +260,19 @@ def test_licences_equal_brute_force(spark):
     assert licences.scan_documents(documents(spark, [])).count() == 0
 
 
+def test_licences_inside_other_text(spark):
+    bsd = next(t for n, t in licences.TEMPLATES if n == "BSD-3-Clause" and len(t) > 1000)
+    w = bsd.split(" ")
+    broken = "\n\n".join(" ".join(w[k : k + 11]) for k in range(0, len(w), 11))
+    rows = [
+        (1, "Copyright 2020 Foo. Released under the MIT License. See the LICENSE file for details."),
+        (2, "some words before it " * 30 + broken + " and words after" * 30),
+        (3, "Copyright 2020 Foo. See the file for details of the thing."),
+    ]
+    got = {r.doc_id: (r.licence, r.dice, r.n_passages) for r in licences.scan_documents(documents(spark, rows)).collect()}
+    assert got == {1: ("MIT", 1.0, 1), 2: ("BSD-3-Clause", 1.0, 1), 3: (None, 0.0, 0)}
+
+
 # -- lines ----------------------------------------------------------------------------------------------------------
 
 

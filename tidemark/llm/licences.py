@@ -1,6 +1,6 @@
 """Licence notices in texts, by the Dice coefficient of word bigrams against templates.
 
-Compared are a text's lines, its paragraphs and the whole of it. Words are compared as 64-bit hashes. With a bigrams here and b in a
+Compared are a text's lines, its paragraphs, the whole of it, and every run of as many words as a template has. Words are compared as 64-bit hashes. With a bigrams here and b in a
 template, a coefficient of t needs t / (2 - t) * a <= b <= (2 - t) / t * a, and as large a share of the passage's bigrams must occur in
 templates at all. Both bounds are checked with array arithmetic; only passages that pass are counted out.
 """
@@ -18,6 +18,40 @@ from tidemark.llm import words
 
 THRESHOLD = 0.8
 
+# Whole permission texts with their disclaimers; numbers of list items are left out.
+_MIT = (
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files "
+    '(the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, '
+    "publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, "
+    "subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or "
+    'substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT '
+    "NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR "
+    "COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, "
+    "OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+)
+_BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are "
+    "met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+    "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+    "documentation and/or other materials provided with the distribution.",
+    "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this "
+    "software without specific prior written permission.",
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED '
+    "TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR "
+    "CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, "
+    "PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF "
+    "LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS "
+    "SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.",
+)
+_ISC = (
+    "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the "
+    'above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL '
+    "WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE "
+    "LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, "
+    "WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS "
+    "SOFTWARE."
+)
+
 # Short notices and permission texts of common licences, by SPDX identifier.
 TEMPLATES: tuple[tuple[str, str], ...] = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -70,6 +104,10 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     ),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("MIT", _MIT),
+    ("BSD-2-Clause", f"{_BSD[0]} {_BSD[2]}"),
+    ("BSD-3-Clause", f"{_BSD[0]} {_BSD[1]} {_BSD[2]}"),
+    ("ISC", _ISC),
 )
 
 _KIND = "struct<licence:string, dice:double, n_passages:long, passage:string>"
@@ -103,6 +141,39 @@ class Templates:
         return found
 
 
+    def windows(self, grams: np.ndarray, hit: np.ndarray, ends: np.ndarray) -> list[tuple[float, str, int, int]]:
+        """Of every stretch of overlapping runs close to a template of their size, the closest: coefficient, name and word range.
+
+        ``ends`` is the end of the row of each word, ``hit`` counts the bigrams before a place that occur in templates.
+        """
+        out = []
+        for (name, other), size in zip(self.all, self.sizes, strict=True):
+            least = self.threshold * size
+            starts = np.flatnonzero(hit[size:] - hit[:-size] >= least) if 0 < size < len(hit) else np.zeros(0, np.int64)
+            starts = starts[starts + size < ends[starts]]
+            best: tuple[float, str, int, int] | None = None
+            bag, common, last = Counter(), 0, -1
+            for a in starts.tolist():
+                if best and a > best[2] + size:
+                    out.append(best)
+                    best = None
+                if a == last + 1 and last >= 0:
+                    old, new = int(grams[last]), int(grams[last + size])
+                    common -= bag[old] <= other[old]
+                    bag[old] -= 1
+                    bag[new] += 1
+                    common += bag[new] <= other[new]
+                else:
+                    bag = Counter(grams[a : a + size].tolist())
+                    common = (bag & other).total()
+                last = a
+                if common >= least and (best is None or common / size > best[0]):
+                    best = common / size, name, a, a + size + 1
+            if best:
+                out.append(best)
+        return out
+
+
 def _passages(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Word ranges of all lines, paragraphs and texts of a block."""
     breaks = np.flatnonzero(raw == 10)
@@ -131,7 +202,8 @@ def licence_of(text: str = "text", templates: tuple[tuple[str, str], ...] = TEMP
         for begin, end in words.blocks(texts):
             raw, starts, ends, hashes, rows = words.row_words(texts.slice(begin, end - begin), words.ALPHANUMERIC)
             a, b = _passages(raw, starts, ends, rows)
-            hit = np.concatenate(([0], np.cumsum(known.matches(words.shingles(hashes, 2)) if len(hashes) > 1 else [])))
+            grams = words.shingles(hashes, 2)
+            hit = np.concatenate(([0], np.cumsum(known.matches(grams) if len(grams) else [])))
             n = b - a - 1
             ok = (n > 0) & (n >= shortest)
             likely = np.flatnonzero(ok)
@@ -141,6 +213,14 @@ def licence_of(text: str = "text", templates: tuple[tuple[str, str], ...] = TEMP
                 if best := known.best(hashes[a[k] : b[k]]):
                     row = int(np.searchsorted(rows, a[k], "right")) - 1
                     found[row].append((-best[0], best[1], int(a[k]), int(b[k])))
+            passages = [[m[2:] for m in matches] for matches in found]
+            runs = known.windows(grams, hit, np.repeat(rows[1:], np.diff(rows)))
+            # The run with the most bigrams of a template comes first; what overlaps it or a passage is the same notice.
+            for dice, name, x, y in sorted(runs, key=lambda m: (-m[0] * (m[3] - m[2] - 1), -m[0], m[1], m[2])):
+                row = int(np.searchsorted(rows, x, "right")) - 1
+                if all(y <= p or q <= x for p, q in passages[row]):
+                    passages[row].append((x, y))
+                    found[row].append((-dice, name, x, y))
             for matches in found:
                 if matches:
                     dice, name, x, y = min(matches)
