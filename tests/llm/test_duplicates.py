@@ -106,3 +106,10 @@ def test_bitmaps_lose_nothing(spark):
     known = np.array([r.h for r in df.collect()], np.int64).view(np.uint64)
     others = np.array([r.h for r in spark.range(5000, 25000).select(F.xxhash64("id").alias("h")).collect()], np.int64).view(np.uint64)
     assert bits.has(known).all() and bits.has(others).mean() < 0.02
+
+
+def test_one_id_with_two_texts_keeps_the_text_that_is_alone(spark):
+    base = [f"word{k}" for k in range(60)]
+    rows = [(1, " ".join(base)), (2, " ".join(base + ["more"])), (2, "a text that exists nowhere else at all")]
+    kept = jaccard_join.one_of_each(documents(spark, rows))
+    assert {(r.doc_id, r.text) for r in kept.collect()} == {rows[0], rows[2]}

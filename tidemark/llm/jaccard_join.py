@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from tidemark.llm import words
 from tidemark.llm.linking import connect
-from tidemark.llm.store import bitmap, stored
+from tidemark.llm.store import bitmap, document_key, stored
 
 #: Words of a shingle and the similarity, in percent, from which two documents link.
 WIDTH, PERCENT = 5, 80
@@ -98,14 +98,14 @@ def _signatures(docs: DataFrame, common, width: int, percent: int) -> DataFrame:
                     pa.array(leads, pa.binary()),
                     _lists(prefixes),
                 ]
-                names = ["doc_id", "at", "n", "sig", "mark", "lead", "prefix"]
-                yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), *made], names=names)
+                names = ["doc_id", "at", "n", "sig", "mark", "lead", "prefix", "key"]
+                yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), *made, rows.column(3)], names=names)
 
     long = T.LongType()
-    types = {"at": long, "n": long, "sig": T.BinaryType(), "mark": long, "lead": T.BinaryType(), "prefix": T.ArrayType(long)}
+    types = {"at": long, "n": long, "sig": T.BinaryType(), "mark": long, "lead": T.BinaryType(), "prefix": T.ArrayType(long), "key": long}
     fields = [T.StructField(n, t) for n, t in types.items()]
     kind = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), *fields])
-    return docs.select("doc_id", F.xxhash64("doc_id").alias("at"), "text").mapInArrow(sign, kind)
+    return docs.select("doc_id", F.xxhash64("doc_id").alias("at"), "text", document_key().alias("key")).mapInArrow(sign, kind)
 
 
 def _shared(bits):
@@ -136,11 +136,16 @@ def _sets(docs: DataFrame, bits, width: int) -> DataFrame:
                 sigs = [np.array(_marks(s)).tobytes() for s in sets]
                 yield pa.RecordBatch.from_arrays([pa.array(sigs, pa.binary()), _lists(sets)], names=["sig", "items"])
 
-    return docs.select(F.xxhash64("doc_id").alias("at"), "text").mapInArrow(whole, "sig binary, items array<bigint>")
+    return docs.select(F.xxhash64("doc_id").alias("at"), "text", document_key().alias("key")).mapInArrow(whole, "sig binary, items array<bigint>")
 
 
 def similar_documents(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` for every row of ``docs`` (doc_id, text, any others).
+    """``doc_id, n_shingles, component_id`` for every row of ``docs`` (doc_id, text, any others); see :func:`_components`."""
+    return _components(docs, width, percent).drop("key")
+
+
+def _components(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """``doc_id, n_shingles, component_id, key`` for every row of ``docs``; ``key`` tells texts of one id apart.
 
     1. One scan finds heavily used shingles, a second orders every document's shingles, rare first, and stores size, signature and
        the prefix that a partner must share some shingles with.
@@ -217,7 +222,7 @@ def similar_documents(docs: DataFrame, width: int = WIDTH, percent: int = PERCEN
     named = linked.groupBy("root").agg(F.min("lo").alias("component_id"))
     named = linked.join(named, "root").select(F.col("sig").alias("s"), "component_id")
     out = whole.withColumn("s", F.when(F.col("n") > 0, F.col("sig"))).join(named, "s", "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), "key")
 
 
 def one_of_each(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -225,5 +230,7 @@ def one_of_each(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) ->
 
     Rows without words stay, and so do rows without an id and equal rows of the document that stays. Columns are those of ``docs``.
     """
-    found = similar_documents(docs, width, percent).filter("n_shingles > 0 and doc_id is not null and doc_id <> component_id")
-    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+    found = _components(docs, width, percent).filter("n_shingles > 0 and doc_id is not null and doc_id <> component_id")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), document_key().alias("key"))
+    same = (F.col("r.key") == F.col("f.key")) & (F.col("r.row.doc_id") == F.col("f.doc_id"))
+    return rows.alias("r").join(found.select("doc_id", "key").distinct().alias("f"), same, "left_anti").select("r.row.*")
