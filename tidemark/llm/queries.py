@@ -3,8 +3,24 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-
-from tidemark.llm import chat, decontamination, exact_dedup, fuzzy_lines, jaccard_join, language, licences, packing, tokens, toxicity
+from pyspark.sql import functions as F
+
+from tidemark.llm import (
+    centroids,
+    chat,
+    decontamination,
+    exact_dedup,
+    fuzzy_lines,
+    hard_negatives,
+    jaccard_join,
+    language,
+    licences,
+    oracle,
+    packing,
+    pii,
+    tokens,
+    toxicity,
+)
 from tidemark.llm.store import read
 
 
@@ -48,6 +64,20 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similar_documents(read(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors, label = read(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"), F.col("label")
+    vectors = vectors.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label))
+    return hard_negatives.mined(vectors, F.col("vec_id") % 100 == 0)
+
+
+def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster_report(read(spark, sf_dir, "embeddings"))
+
+
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -61,12 +91,18 @@ QUERIES = {
         op8_packing,
         op9_line_dedup,
         op10_jaccard_join,
+        op11_hard_negatives,
+        op12_centroid_clusters,
+        op13_personal_data,
     )
 }
 
 _UP, _LOW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 ORACLE_SQL = {
+    "op11_hard_negatives": oracle.HARD_NEGATIVES,
+    "op12_centroid_clusters": oracle.CENTROID_CLUSTERS,
+    "op13_personal_data": oracle.PERSONAL_DATA,
     "op3_chat_formatting": r"""
         with t as (
             select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
