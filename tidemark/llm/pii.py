@@ -228,7 +228,8 @@ def find_spans(docs: DataFrame, disclosure: float = DISCLOSURE, support: int = S
     stored once; all else that moves is words next to values. Every join can be split.
     """
     marked, found = _marked(docs, disclosure, support)
-    return marked.join(found, "key", "left").select("doc_id", "base", F.coalesce("spans", "base").alias("spans"))
+    held = marked.filter("key is not null").join(found, "key").select("doc_id", "base", "spans")
+    return marked.filter("key is null").select("doc_id", "base", F.col("base").alias("spans")).unionByName(held)
 
 
 def sanitised(docs: DataFrame, disclosure: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
