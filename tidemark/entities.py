@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.commerce import STATE_NAMES
 from tidemark.operators.quality import (
+    Reference,
     Rule,
     between,
     in_domain,
@@ -64,6 +65,8 @@ class Entity:
     rules: tuple[Rule, ...] = ()
     casts: Mapping[str, str] = field(default_factory=dict)
     partition_by: str | None = None
+    #: Other entities that rows refer to; checked only where a run or a caller asks for it.
+    references: tuple[Reference, ...] = ()
 
     @property
     def change_schema(self) -> T.StructType:
@@ -76,6 +79,8 @@ class Entity:
         return T.StructType(self.change_schema.fields + DAY_PARTS.fields)
 
 
+_OF_ORDER = Reference("unknown_order", "order_id", "orders")
+
 _ALL = (
     Entity(
         "customers",
@@ -191,6 +196,7 @@ _ALL = (
             "price": "double",
             "freight_value": "double",
         },
+        references=(_OF_ORDER,),
     ),
     Entity(
         "payments",
@@ -208,6 +214,7 @@ _ALL = (
             positive("payment_installments", "invalid_installments"),
         ),
         {"payment_sequential": "int", "payment_installments": "int", "payment_value": "double"},
+        references=(_OF_ORDER,),
     ),
     Entity(
         "reviews",
@@ -223,6 +230,7 @@ _ALL = (
         ),
         (between("review_score", 1, 5, "invalid_review_score"),),
         {"review_score": "int", "review_creation_date": "date", "review_answer_timestamp": "timestamp_ntz"},
+        references=(_OF_ORDER,),
     ),
 )
 

@@ -99,6 +99,11 @@ def inferred_members(
     return known.unionByName(placeholders, allowMissingColumns=True)
 
 
+def missing_members(keys: DataFrame, known: DataFrame, key: str) -> DataFrame:
+    """The rows of ``keys`` (one per key) that no known member has; both are first cut down to keys by the caller."""
+    return keys.join(known.select(key), key, "left_anti")
+
+
 def resolve_members(members: DataFrame, arrivals: DataFrame, key: str) -> DataFrame:
     """Replace placeholders by the real members that arrived since."""
     real = arrivals.withColumn("_is_inferred", F.lit(False))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import on_day
+from tidemark.operators.joins import splittable_join
 
 REASON = "_quarantine_reason"
 NULL_KEY = "null_pk"
@@ -25,6 +26,35 @@ class Rule:
     condition: str
 
 
+@dataclass(frozen=True)
+class Reference:
+    """``key`` of a good row names a row of the entity ``parent``; ``reason`` labels a row whose parent is not known."""
+
+    reason: str
+    key: str
+    parent: str
+
+    @property
+    def flag(self) -> str:
+        return f"_known_{self.key}"
+
+    def rule(self) -> Rule:
+        """The row rule over the flag that :func:`with_known` adds; a NULL key refers to nothing and is left to other rules."""
+        return Rule(self.reason, f"{self.key} is null or {self.flag}")
+
+
+def with_known(df: DataFrame, references: Sequence[Reference], parents: Mapping[str, DataFrame]) -> DataFrame:
+    """Rows with a flag for every reference: true where its key is among the keys of the parent, NULL elsewhere.
+
+    Parents hold one row per key. Each flag is a left join on the key alone, which adaptive execution can split where one key
+    holds much of the rows, and broadcasts where the parent is small.
+    """
+    for reference in references:
+        known = parents[reference.parent].select(reference.key, F.lit(True).alias(reference.flag))
+        df = splittable_join(df, known, reference.key, "left")
+    return df
+
+
 def in_domain(column: str, values: Iterable[str], reason: str) -> Rule:
     return Rule(reason, f"{column} in ({', '.join(repr(v) for v in values)})")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -19,7 +20,7 @@ from tidemark.functions.columns import (
     with_purchase_date,
 )
 from tidemark.operators.cdc import scd1_apply
-from tidemark.operators.quality import apply_rules, passed, quarantine_metadata, rejected
+from tidemark.operators.quality import REASON, apply_rules, passed, quarantine_metadata, rejected, with_known
 
 RECEIVED = "_ingested_at"
 PROCESSED = "_silver_processed_at"
@@ -40,13 +41,32 @@ def prepare(
 
 
 def tagged(
-    df: DataFrame, entity: str, on_null: str = "quarantine", null_op: str = "upsert", flag_malformed: bool = False
+    df: DataFrame,
+    entity: str,
+    on_null: str = "quarantine",
+    null_op: str = "upsert",
+    flag_malformed: bool = False,
+    parents: Mapping[str, DataFrame] | None = None,
 ) -> DataFrame:
-    """Prepared rows with the reason each is rejected for; both outputs below come from one pass over this."""
+    """Prepared rows with the reason each is rejected for; both outputs below come from one pass over this.
+
+    With ``parents`` (entity -> rows, one per key), rows must also refer to known ones; that is judged last, so a row that waits for
+    its parent is good in every other way.
+    """
     spec = ENTITIES[entity]
     ready = prepare(df, entity, flag_malformed)
-    result = apply_rules(ready, spec.rules, spec.keys, OP, on_null, null_op, MALFORMED if flag_malformed else None)
-    return result.drop(MALFORMED)
+    references = spec.references if parents is not None else ()
+    rules = (*spec.rules, *[r.rule() for r in references])
+    ready = with_known(ready, references, parents or {})
+    result = apply_rules(ready, rules, spec.keys, OP, on_null, null_op, MALFORMED if flag_malformed else None)
+    return result.drop(MALFORMED, *[r.flag for r in references])
+
+
+def judged_again(held: DataFrame, entity: str, parents: Mapping[str, DataFrame]) -> DataFrame:
+    """Rows that were rejected for their references alone, tagged anew with what is known now."""
+    references = ENTITIES[entity].references
+    ready = with_known(held.drop(REASON), references, parents)
+    return apply_rules(ready, [r.rule() for r in references], (), OP).drop(*[r.flag for r in references])
 
 
 def clean_part(rows: DataFrame, now: datetime | None = None) -> DataFrame:

@@ -75,6 +75,44 @@ def feed_is_delete() -> Column:
     return F.col(CHANGE_TYPE).eqNullSafe("delete")
 
 
+#: Commit time of placeholders: before every real change, so that the real member takes the place of its placeholder whenever it comes.
+BEFORE_ALL = "0001-01-01 00:00:00"
+INFERRED, INFERRED_AT, INFERRED_BY = "_is_inferred", "_inferred_at", "_inferred_by"
+
+
+@dataclass(frozen=True)
+class Membership:
+    """A dimension whose members ``source`` rows name by ``key``."""
+
+    dim: str
+    source: str
+    key: str
+    dim_key: str
+
+
+MEMBERSHIPS = (
+    Membership("dim_customer", "dim_order", "customer_id", "customer_sk"),
+    Membership("dim_seller", "fact_order_items", "seller_id", "seller_sk"),
+    Membership("dim_product", "fact_order_items", "product_id", "product_sk"),
+)
+
+
+def placeholders(arrived: DataFrame, member: Membership, batch: str, mode: str = "xxhash64") -> DataFrame:
+    """Dimension rows that hold the place of members only known by name: ``arrived`` (key, ``_inferred_at``), one row per key."""
+    rows = arrived.select(
+        surrogate_key(member.key, mode=mode).alias(member.dim_key),
+        member.key,
+        F.col(INFERRED_AT).alias(PROCESSED),
+        F.col(INFERRED_AT).alias(GOLD_PROCESSED),
+        F.lit("I").alias(OP),
+        F.lit(BEFORE_ALL).cast("timestamp_ntz").alias(COMMIT_TS),
+        F.lit(True).alias(INFERRED),
+        INFERRED_AT,
+        F.lit(batch).alias(INFERRED_BY),
+    )
+    return rows.withColumn(PARENT_AT, F.lit(None).cast("timestamp_ntz")) if member.dim == "dim_product" else rows
+
+
 def _staged(df: DataFrame, columns: list[str | Column], now: datetime | None) -> DataFrame:
     feed = [c for c in (*FEED_COLUMNS, PARENT_AT) if c in df.columns]
     df = df.withColumn(GOLD_PROCESSED, on_day(F.col(PROCESSED), now))

@@ -47,16 +47,18 @@ def _scalars(names, conditions=None):
     return "SELECT " + ", ".join(parts)
 
 
-@register("kpi_cards", _scalars(analyses.KPIS))
+CARDS_SQL = _scalars(analyses.KPIS)
+MONTHLY_SQL = f"""
+    SELECT year_month, {GMV} AS total_gmv, count(DISTINCT order_id) AS total_orders
+    FROM fact_order_items JOIN dim_date ON purchase_date_sk = date_sk GROUP BY year_month ORDER BY year_month"""
+
+
+@register("kpi_cards", CARDS_SQL)
 def _(spark, sf):
     return analyses.kpi_cards(gold(spark, sf))
 
 
-@register(
-    "monthly_gmv_orders",
-    f"""SELECT year_month, {GMV} AS total_gmv, count(DISTINCT order_id) AS total_orders
-        FROM fact_order_items JOIN dim_date ON purchase_date_sk = date_sk GROUP BY year_month ORDER BY year_month""",
-)
+@register("monthly_gmv_orders", MONTHLY_SQL)
 def _(spark, sf):
     return analyses.monthly_gmv_orders(gold(spark, sf))
 

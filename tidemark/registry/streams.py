@@ -17,6 +17,7 @@ from tidemark.sources import testbed
 from tidemark.sources.keyed import KeyedTable
 from tidemark.sources.landing import landing_stream, write_landing
 from tidemark.streaming import runs
+from tidemark.streaming.keyed_state import living_rows, settle
 
 
 def bronze(spark, sf):
@@ -258,3 +259,15 @@ def _(spark, sf):
     known, arriving = early(orders).drop(COMMIT_TS), late(orders).drop(COMMIT_TS)
     payments = current(spark, sf, "payments").join(orders, "order_id", "left_semi")
     return resolve_members(inferred_members(payments, known, "order_id"), arriving, "order_id")
+
+
+@register("scd1_state_stream", f"SELECT {ITEM_SQL} FROM silver_items")
+def _(spark, sf):
+    """Order items as the state of a stream, read back from its checkpoint; the later half of the changes comes first."""
+    root = scratch(spark, "state")
+    items = silver.clean(testbed.received(spark, sf, "order_items"), "order_items", NOW).select(*ITEM_ROW)
+    for k, part in enumerate((late(items), early(items))):
+        part.write.parquet(f"{root}/in/part={k}")
+        stream = spark.readStream.schema(items.schema).parquet(f"{root}/in").select(*ITEM_ROW)
+        settle(stream, ITEM, F.col(COMMIT_TS), silver.is_delete(), f"{root}/feed", f"{root}/checkpoint").awaitTermination()
+    return living_rows(spark, f"{root}/checkpoint", items.schema)

@@ -10,11 +10,12 @@ from tidemark.plans import silver, star
 from tidemark.registry.base import KEY_MODE, NOW, cleaned, current, gold, quarantined, raw, register
 from tidemark.registry.changes import ITEM, ITEM_ROW, ITEM_SQL
 from tidemark.registry.sql import SHORT
-from tidemark.registry.workspace import FIRST_DAY, early, item_table, landing, late
+from tidemark.registry.workspace import FIRST_DAY, early, item_table, landing, late, once
 from tidemark.session import scratch
 from tidemark.sources import files
 from tidemark.sources.keyed import KeyedTable
 from tidemark.sources.landing import bronze_metadata, change_columns, read_landing, source_lineage
+from tidemark.sources.layout import share_read, write_interleaved
 
 LANDED = f"greatest(coalesce(CAST(\"{COMMIT_TS}\" AS DATE), DATE '{FIRST_DAY}'), DATE '{FIRST_DAY}')"
 DAY_SQL = f"CAST(year({LANDED}) AS INTEGER) AS year, CAST(month({LANDED}) AS INTEGER) AS month, CAST(day({LANDED}) AS INTEGER) AS day"
@@ -126,6 +127,40 @@ def _(spark, sf):
     return spark.read.parquet(path)
 
 
+LAID_OUT = 16
+
+
+def interleaved_facts(spark, sf):
+    """The items laid out by both columns that reports filter on."""
+
+    def build(root):
+        write_interleaved(gold(spark, sf)["fact_order_items"], root, star.GOLD["fact_order_items"].clustered_by, LAID_OUT)
+        return root
+
+    return once(spark, sf, "interleaved", build)
+
+
+@register("write_interleaved", "SELECT * FROM fact_order_items")
+def _(spark, sf):
+    return spark.read.parquet(interleaved_facts(spark, sf))
+
+
+@register(
+    "interleaved_skipping",
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, least({LAID_OUT}, count({c})) AS files, true AS under_a_third FROM fact_order_items"
+        for c in star.GOLD["fact_order_items"].clustered_by
+    ),
+)
+def _(spark, sf):
+    """Whether a filter on either column reads under a third of the files."""
+    path, parts = interleaved_facts(spark, sf), []
+    for c in star.GOLD["fact_order_items"].clustered_by:
+        found = share_read(spark, path, c)
+        parts.append(found.select(F.lit(c).alias("column_name"), "files", (F.col("share") < 1 / 3).alias("under_a_third")))
+    return parts[0].unionByName(parts[1])
+
+
 @register("compact", f"SELECT {ITEM_SQL}, {DAY_SQL} FROM raw_items")
 def _(spark, sf):
     path = scratch(spark, "compacted")

@@ -16,6 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from tidemark.operators.cdc import CHANGE_TYPE, DELETE, INSERT, POSTIMAGE, PREIMAGE, latest_by_key, version_order
 from tidemark.operators.quality import all_present
@@ -66,8 +67,8 @@ class KeyedTable:
 
     # -- reading -------------------------------------------------------------------------------------------------
 
-    def _state(self, version: int | None = None) -> DataFrame:
-        """The latest change of every key as of a version, deletes included."""
+    def _state(self, version: int | None = None, only: DataFrame | None = None) -> DataFrame:
+        """The latest change of every key as of a version, deletes included; ``only`` of the keys it lists."""
         version = self.latest_version() if version is None else version
         base = max((b for b in self._bases() if b <= version), default=0)
         folders = [p for v, p in sorted(self._changes().items()) if base < v <= version]
@@ -76,53 +77,56 @@ class KeyedTable:
             raise ValueError(f"{self.path} has no version {version or ''}".rstrip())
         rows = self.spark.read.option("mergeSchema", True).parquet(*paths)
         rows = rows.drop(*_FOLDER)
+        if only is not None:
+            rows = rows.join(only.distinct(), only.columns, "left_semi")
         return rows if len(paths) == 1 else latest_by_key(rows, self.keys, [F.col("_order")])
 
     def read(self, version: int | None = None) -> DataFrame:
         """The table as of a version that compaction has not folded away, the newest one by default."""
         return self._state(version).filter(~F.col("_deleted")).drop(*_HIDDEN)
 
-    def read_all(self) -> DataFrame:
-        """The latest change of every key with its ``_order`` and whether it is ``_deleted``."""
-        return self._state()
+    def read_all(self, only: DataFrame | None = None) -> DataFrame:
+        """The latest change of every key with its ``_order`` and whether it is ``_deleted``.
+
+        ``only`` names the keys that are asked for by some of the table's key columns; no other row is moved or reduced.
+        """
+        return self._state(only=only)
 
     def read_changes(self, start: int, end: int | None = None, preimages: bool = False) -> DataFrame:
         """Row changes of the merges ``start`` to ``end``, both included, against the state before each.
 
-        A merge is compared with the earlier rows of its own keys, so what it costs follows its size and the scan.
+        The state before ``start`` is read once, for the keys of these merges only; from there every change is compared with the
+        greatest earlier one of its key, in one window that holds at most one row per merge.
         """
-        last, parts = self.latest_version() if end is None else end, []
-        finished = self._changes()
-        for v in [v for v in sorted(finished) if start <= v <= last]:
-            new = self.spark.read.parquet(finished[v])
-            before = self._state(v - 1) if v > 1 else new.limit(0)
-            parts.append(self._compared(before, new, v, preimages))
-        if not parts:
-            return self._compared(self._state(last).limit(0), self._state(last).limit(0), last, preimages)
-        out = parts[0]
-        for part in parts[1:]:
-            out = out.unionByName(part, allowMissingColumns=True)
-        return out
-
-    def _compared(self, before: DataFrame, new: DataFrame, version: int, preimages: bool) -> DataFrame:
-        columns = [c for c in new.columns if c not in _HIDDEN]
-        lacking = {c: F.lit(None).cast(new.schema[c].dataType) for c in columns if c not in before.columns}
-        old = before.withColumns(lacking).join(new.select(*self.keys), self.keys, "left_semi")
-        old = old.select(*self.keys, F.struct(*columns).alias("_old"), F.col("_order").alias("_was"), F.col("_deleted").alias("_gone"))
-        fresh = new.select(*self.keys, F.struct(*columns).alias("_new"), "_order", "_deleted")
-        rows = fresh.join(old, self.keys, "left").filter(F.col("_was").isNull() | (F.col("_order") > F.col("_was")))
-        lived = F.col("_was").isNotNull() & ~F.col("_gone")
+        last = self.latest_version() if end is None else end
+        folders = [p for v, p in sorted(self._changes().items()) if start <= v <= last]
+        if not folders:
+            return self._events(self._state(last).limit(0).withColumn("_v", F.lit(last)), preimages)
+        new = self.spark.read.option("mergeSchema", True).option("basePath", f"{self.path}/changes").parquet(*folders).drop("_batch")
+        if min([*self._changes(), *self._bases()]) < start:
+            before = self._state(start - 1, only=new.select(*self.keys)).withColumn("_v", F.lit(start - 1))
+            new = new.unionByName(before, allowMissingColumns=True)
+        return self._events(new, preimages).filter(F.col(COMMIT_VERSION) >= start)
+
+    def _events(self, rows: DataFrame, preimages: bool) -> DataFrame:
+        """What each row of ``_v`` changes, given the rows of its key with a smaller ``_v``."""
+        columns = [c for c in rows.columns if c not in (*_HIDDEN, "_v")]
+        rows = rows.select(*self.keys, F.struct(*columns).alias("_new"), "_order", "_deleted", "_v")
+        earlier = Window.partitionBy(*self.keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+        rows = rows.withColumn("_last", F.max_by(F.struct("_new", "_order", "_deleted"), "_order").over(earlier))
+        rows = rows.filter(F.col("_last").isNull() | (F.col("_order") > F.col("_last._order")))
+        lived = F.col("_last").isNotNull() & ~F.col("_last._deleted")
 
         def event(row: str, kind: str) -> Column:
             return F.struct(*[F.col(row)[c].alias(c) for c in columns], F.lit(kind).alias(CHANGE_TYPE))
 
-        updated = F.array(*[event("_old", PREIMAGE)] * preimages, event("_new", POSTIMAGE))
+        updated = F.array(*[event("_last._new", PREIMAGE)] * preimages, event("_new", POSTIMAGE))
         events = (
             F.when(~F.col("_deleted") & ~lived, F.array(event("_new", INSERT)))
             .when(~F.col("_deleted"), updated)
-            .when(lived, F.array(event("_old", DELETE)))
+            .when(lived, F.array(event("_last._new", DELETE)))
         )
-        return rows.filter(lived | ~F.col("_deleted")).select(F.inline(events)).withColumn(COMMIT_VERSION, F.lit(version))
+        return rows.filter(lived | ~F.col("_deleted")).select(F.inline(events), F.col("_v").cast("int").alias(COMMIT_VERSION))
 
     def change_stream(self, max_files: int | None = None) -> DataFrame:
         """The change rows of every merge as a stream: upserts as post-images, and deletes.

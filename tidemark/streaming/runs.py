@@ -12,10 +12,13 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.entities import DAY_PARTS, ENTITIES, OP
+from tidemark.operators.quality import REASON
 from tidemark.plans import silver, star
 from tidemark.sources.keyed import KeyedTable
 from tidemark.sources.landing import DAY, ORIGIN, RECEIVED, bronze_metadata, landing_stream, source_lineage
 
+ROW_ID, RELEASED_BY = "_row_id", "_released_by"
+
 
 def append(
     stream: DataFrame, path: str, checkpoint: str, partition_by: tuple[str, ...] = ()
@@ -89,18 +92,26 @@ def silver_stream(
     quarantine_path: str,
     checkpoint: str,
     now: datetime | None = None,
+    waiting: KeyedTable | None = None,
+    parents: Callable[[], Mapping[str, DataFrame]] | None = None,
     **options,
 ) -> StreamingQuery:
     """Split each micro-batch by the rules: good rows merge into the keyed table, the others into the quarantine.
 
     Tagged rows are kept for both outputs, so a micro-batch is read and judged once. The quarantine writes to a folder of
-    its own per micro-batch, which a repeated micro-batch replaces.
+    its own per micro-batch, which a repeated micro-batch replaces. With ``parents`` rows must refer to known ones; those that do not
+    are merged into ``waiting``, from where :func:`release_stream` lets them out.
     """
 
     def step(rows: DataFrame, batch: str) -> None:
-        marked = silver.tagged(rows.drop(*DAY), entity, **options).persist()
+        known = {} if parents is None else {"parents": parents()}
+        marked = silver.tagged(rows.drop(*DAY), entity, **options, **known).persist()
         try:
             bad = silver.quarantine_part(marked, entity, now)
+            if waiting is not None:
+                reasons = [r.reason for r in ENTITIES[entity].references]
+                hold(waiting, bad.filter(F.col(REASON).isin(reasons)), batch)
+                bad = bad.filter(~F.col(REASON).isin(reasons))
             bad.write.mode("overwrite").partitionBy("_quarantine_date").parquet(f"{quarantine_path}/batch={batch}")
             table.merge(silver.clean_part(marked, now), silver.silver_sequence(), silver.is_delete(), batch)
         finally:
@@ -109,6 +120,52 @@ def silver_stream(
     return for_each_batch(stream, checkpoint, step)
 
 
+def _row_id(rows: DataFrame) -> Column:
+    """What a waiting row is called: a hash of all it says, so that one that is delivered twice waits once."""
+    said = [F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in sorted(rows.columns) if not c.startswith("_")]
+    return F.sha2(F.concat_ws("\x1f", *said), 256)
+
+
+def hold(waiting: KeyedTable, rows: DataFrame, batch: str) -> None:
+    """Keep rejected rows until they are let out; a row that was let out before does not come back."""
+    held = rows.withColumns({ROW_ID: _row_id(rows), RELEASED_BY: F.lit(None).cast("string")})
+    waiting.merge(held, F.lit(0), F.lit(False), batch)
+
+
+def release_stream(
+    parent_changes: DataFrame,
+    key: str,
+    entity: str,
+    waiting: KeyedTable,
+    table: KeyedTable,
+    parents: Callable[[DataFrame], Mapping[str, DataFrame]],
+    checkpoint: str,
+    now: datetime | None = None,
+) -> StreamingQuery:
+    """Let rows of an entity out of the waiting table once their parents have come, into the keyed table.
+
+    Each micro-batch of the parent's changes looks at the rows that wait for these keys only; ``parents`` gives the current rows of every parent
+    for a set of waiting rows. A row leaves the waiting table under the name of the micro-batch, so a repetition finds the same
+    rows again and leaves the same state behind.
+    """
+
+    def step(changed: DataFrame, batch: str) -> None:
+        if not waiting.latest_version():
+            return
+        here = ~F.col("_deleted") | F.col(RELEASED_BY).eqNullSafe(batch)
+        held = waiting.read_all().join(changed.select(key).distinct(), key, "left_semi").filter(here).drop("_deleted", "_order")
+        judged = silver.judged_again(held, entity, parents(held)).persist()
+        try:
+            free = judged.filter(F.col(REASON).isNull()).drop(ROW_ID, RELEASED_BY, "_quarantine_table_name", "_quarantine_date", "_quarantine_failed_at")
+            table.merge(silver.clean_part(free, now), silver.silver_sequence(), silver.is_delete(), batch)
+            gone = judged.filter(F.col(REASON).isNull()).withColumn(RELEASED_BY, F.lit(batch))
+            waiting.merge(gone, F.lit(1), F.lit(True), batch)
+        finally:
+            judged.unpersist()
+
+    return for_each_batch(parent_changes, checkpoint, step)
+
+
 def gold_stream(
     changes: DataFrame,
     stage: Callable[[DataFrame], DataFrame],
