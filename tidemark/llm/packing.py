@@ -10,10 +10,11 @@ first fit over its classes: a bounded number of pieces, since each class leaves
 from __future__ import annotations
 
 import bisect
+import re
+import struct
 import zlib
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -42,8 +43,21 @@ def cuts(length: int, capacity: int = CAPACITY, fine: int = FINE) -> Iterator[tu
         yield length, capacity // length
 
 
+#: Characters of most texts; among them the vocabulary's pattern for words needs no table of all letters. The pattern, the
+#: characters, and the same words by a pattern over these characters alone.
+_GENERAL = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_COMMON = frozenset([*map(chr, range(32, 127)), "\n", "\t", *(chr(c) for c in range(0xC0, 0x100) if c not in (0xD7, 0xF7)), *"–—‘’“”…"])
+_NARROW = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^\sa-z0-9ß-öø-ÿ]+")
+
+
+def words(vocabulary: Vocabulary, text: str) -> list[str]:
+    """The words of a text, as :meth:`Vocabulary.words` finds them."""
+    if vocabulary.pattern.pattern == _GENERAL and "<|" not in text and _COMMON.issuperset(text):
+        return _NARROW.findall(text.lower())
+    return vocabulary.words(text)
+
+
 def _pieces(path: str, capacity: int, end_id: int, fine: int, with_ids: bool):
-    piece = [("start", pa.int64()), ("length", pa.int64()), ("class", pa.int32()), ("ids_crc32", pa.int64())] + [("ids", pa.binary())] * with_ids
     made: list[tuple] = []
 
     def table() -> tuple:
@@ -57,7 +71,7 @@ def _pieces(path: str, capacity: int, end_id: int, fine: int, with_ids: bool):
                 found = [vocabulary.special[word]]
             else:
                 found = [t.id for t in model.tokenize("".join(vocabulary.letters[b] for b in word.encode()))]
-            return np.array(found, "<u4").tobytes()
+            return struct.pack(f"<{len(found)}I", *found)
 
         return vocabulary, WordTable(ids)
 
@@ -68,18 +82,27 @@ def _pieces(path: str, capacity: int, end_id: int, fine: int, with_ids: bool):
         if not made:
             made.append(table())
         vocabulary, ids_of = made[0]
-        close = np.array([end_id], "<u4").tobytes()
-        totals, out = [], []
-        for text in texts:
-            ids = memoryview(b"".join([*map(ids_of.__getitem__, vocabulary.words(text.as_py() or "")), close]))
+        close = struct.pack("<I", end_id)
+        totals, first, starts, lengths, classes, sums, parts = [], [0], [], [], [], [], []
+        for value in texts:
+            ids = memoryview(b"".join([*map(ids_of.__getitem__, words(vocabulary, value.as_py() or "")), close]))
             totals.append(len(ids) // 4)
-            at, row = 0, []
+            at = 0
             for length, k in cuts(totals[-1], capacity, fine):
                 part = ids[4 * at : 4 * (at + length)]
-                row.append({"start": at, "length": length, "class": k, "ids_crc32": zlib.crc32(part)} | ({"ids": bytes(part)} if with_ids else {}))
+                starts.append(at)
+                lengths.append(length)
+                classes.append(k)
+                sums.append(zlib.crc32(part))
+                if with_ids:
+                    parts.append(bytes(part))
                 at += length
-            out.append(row)
-        return pa.StructArray.from_arrays([pa.array(totals, pa.int64()), pa.array(out, pa.list_(pa.struct(piece)))], names=["doc_tokens", "pieces"])
+            first.append(len(starts))
+        columns = {"start": pa.array(starts, pa.int64()), "length": pa.array(lengths, pa.int64()), "class": pa.array(classes, pa.int32())}
+        columns |= {"ids_crc32": pa.array(sums, pa.int64())} | ({"ids": pa.array(parts, pa.binary())} if with_ids else {})
+        pieces = pa.StructArray.from_arrays(list(columns.values()), names=list(columns))
+        lists = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pieces)
+        return pa.StructArray.from_arrays([pa.array(totals, pa.int64()), lists], names=["doc_tokens", "pieces"])
 
     return cut
 
