@@ -239,6 +239,24 @@ def test_runs_with_references_equal_the_batch(spark, checked):
     assert as_set(bad, "order_id", "order_item_id") == {("never", 1)}
 
 
+def test_runs_count_what_they_judge(checked):
+    house, _ = checked
+    counts = {(r.table_name, r.reason): r.rows for r in house.run_metrics().collect()}
+    assert counts["order_items", "read"] == 10 and counts["order_items", "unknown_order"] == 2 and counts["order_items", None] == 8
+    assert counts["orders", "read"] == counts["orders", None] == 8
+    for table in ("orders", "order_items", "reviews", "sellers"):
+        assert counts[table, "read"] == sum(n for (t, r), n in counts.items() if t == table and r != "read")
+
+
+def test_a_repeated_micro_batch_is_counted_once(spark, tmp_path):
+    from tidemark.streaming import runs
+
+    for n in (5, 3):
+        runs.store_metrics(spark, {"read": n, "clean": n - 1, "r0": 1, "r1": 0}, "orders", ["a", "b"], f"{tmp_path}/tables/metrics/orders/batch=x-0")
+    found = Warehouse(spark, f"{tmp_path}/tables").run_metrics()
+    assert as_set(found, "reason", "rows") == {("read", 3), (None, 2), ("a", 1)}
+
+
 def test_a_waiting_row_can_be_deleted(spark, tmp_path):
     house = Warehouse(spark, f"{tmp_path}/tables", checked=["order_items"])
     first = {"orders": [order("a")], "order_items": [item("b"), item("a")]}

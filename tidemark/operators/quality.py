@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import on_day
@@ -158,6 +158,22 @@ def quarantine_metadata(
     )
 
 
+def reasons(rules: Sequence[Rule], references: Sequence[Reference] = ()) -> list[str]:
+    """Every reason a row may be rejected for, the missing key included."""
+    return [*dict.fromkeys([*[r.reason for r in rules], *[r.reason for r in references], NULL_KEY])]
+
+
+def observed(tagged: DataFrame, named: Sequence[str], observation: Observation) -> DataFrame:
+    """Tagged rows that are counted as they pass: ``read``, ``clean`` and ``r0, r1, ..``, the rows rejected for each named reason.
+
+    The counts come out of the first action over the result. They are those of the tasks that ran, so a partition that a lost executor
+    makes Spark compute twice counts twice.
+    """
+    reason = F.col(REASON)
+    rejected_for = [F.count_if(reason.eqNullSafe(r)).alias(f"r{i}") for i, r in enumerate(named)]
+    return tagged.observe(observation, F.count(F.lit(1)).alias("read"), F.count_if(reason.isNull()).alias("clean"), *rejected_for)
+
+
 def quarantine_report(quarantine: DataFrame) -> DataFrame:
     """Rejected rows per table, reason and day."""
     return quarantine.groupBy("_quarantine_table_name", REASON, "_quarantine_date").agg(

@@ -156,7 +156,8 @@ class Warehouse:
                     stream = runs.read_stream(self.spark, f"{self.root}/bronze", e, max_files, new)
                     bad, point = f"{self.root}/quarantine/{e}", self._checkpoint(f"silver-{e}")
                     held = {"waiting": self.waiting_table(e), "parents": partial(self._current_parents, e)} if checked else {}
-                    started.append(runs.silver_stream(stream, e, self.silver_table(e), bad, point, now, **held))
+                    counts = f"{self.root}/metrics/{e}"
+                    started.append(runs.silver_stream(stream, e, self.silver_table(e), bad, point, now, metrics_path=counts, **held))
             runs.run_all(started)
             if not checked:
                 self._release(now)
@@ -364,6 +365,15 @@ class Warehouse:
         kept = [n for n in {*self.live, "purchases"} if self._source(LIVE[n])[0].latest_version()]
         return done + [f"live/{n}" for n in kept if self.live_measures(n).fold()]
 
+    def run_metrics(self) -> DataFrame:
+        """``table_name, reason, rows`` over all runs: rows read, rows that were clean (reason NULL), rows rejected by reason.
+
+        Reads what each micro-batch counted on its way, neither bronze nor the quarantine.
+        """
+        paths = matching(self.spark, f"{self.root}/metrics/*/batch=*/_SUCCESS")
+        found = self.spark.read.schema(runs.METRICS).parquet(*[p.removesuffix("/_SUCCESS") for p in paths]) if paths else self.spark.createDataFrame([], runs.METRICS)
+        return found.groupBy("table_name", "reason").agg(F.sum("rows").alias("rows"))
+
     def quarantine(self, entity: str) -> DataFrame:
         """Rejected rows, those that wait for a parent included; a row that was let out is in none of them."""
         parts, path = [], f"{self.root}/quarantine/{entity}"

@@ -6,13 +6,13 @@ import json
 from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.entities import DAY_PARTS, ENTITIES, OP
-from tidemark.operators.quality import REASON
+from tidemark.operators.quality import REASON, observed, reasons
 from tidemark.plans import silver, star
 from tidemark.sources.keyed import KeyedTable
 from tidemark.sources.landing import DAY, ORIGIN, RECEIVED, bronze_metadata, landing_stream, source_lineage
@@ -94,32 +94,49 @@ def silver_stream(
     now: datetime | None = None,
     waiting: KeyedTable | None = None,
     parents: Callable[[], Mapping[str, DataFrame]] | None = None,
+    metrics_path: str | None = None,
     **options,
 ) -> StreamingQuery:
     """Split each micro-batch by the rules: good rows merge into the keyed table, the others into the quarantine.
 
     Tagged rows are kept for both outputs, so a micro-batch is read and judged once. The quarantine writes to a folder of
     its own per micro-batch, which a repeated micro-batch replaces. With ``parents`` rows must refer to known ones; those that do not
-    are merged into ``waiting``, from where :func:`release_stream` lets them out.
+    are merged into ``waiting``, from where :func:`release_stream` lets them out. What the pass counted goes to ``metrics_path``, in a folder of
+    the micro-batch as well.
     """
+    spec = ENTITIES[entity]
+    named = reasons(spec.rules, spec.references if parents is not None else ())
 
     def step(rows: DataFrame, batch: str) -> None:
         known = {} if parents is None else {"parents": parents()}
-        marked = silver.tagged(rows.drop(*DAY), entity, **options, **known).persist()
+        counted = Observation()
+        marked = observed(silver.tagged(rows.drop(*DAY), entity, **options, **known), named, counted).persist()
         try:
             bad = silver.quarantine_part(marked, entity, now)
             if waiting is not None:
-                reasons = [r.reason for r in ENTITIES[entity].references]
-                hold(waiting, bad.filter(F.col(REASON).isin(reasons)), batch)
-                bad = bad.filter(~F.col(REASON).isin(reasons))
+                for_parent = [r.reason for r in spec.references]
+                hold(waiting, bad.filter(F.col(REASON).isin(for_parent)), batch)
+                bad = bad.filter(~F.col(REASON).isin(for_parent))
             bad.write.mode("overwrite").partitionBy("_quarantine_date").parquet(f"{quarantine_path}/batch={batch}")
             table.merge(silver.clean_part(marked, now), silver.silver_sequence(), silver.is_delete(), batch)
+            if metrics_path is not None:
+                store_metrics(rows.sparkSession, counted.get, entity, named, f"{metrics_path}/batch={batch}")
         finally:
             marked.unpersist()
 
     return for_each_batch(stream, checkpoint, step)
 
 
+METRICS = "table_name string, reason string, rows long"
+
+
+def store_metrics(spark: SparkSession, counts: Mapping[str, int], entity: str, named: Sequence[str], path: str) -> None:
+    """One row for what was read, what was clean (reason NULL) and each reason that occurred; a repeated micro-batch replaces its own."""
+    found = [(entity, "read", counts["read"]), (entity, None, counts["clean"])]
+    found += [(entity, r, counts[f"r{i}"]) for i, r in enumerate(named) if counts[f"r{i}"]]
+    spark.createDataFrame(found, METRICS).coalesce(1).write.mode("overwrite").parquet(path)
+
+
 def _row_id(rows: DataFrame) -> Column:
     """What a waiting row is called: a hash of all it says, so that one that is delivered twice waits once."""
     said = [F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in sorted(rows.columns) if not c.startswith("_")]
