@@ -17,6 +17,8 @@ START, END = "<|im_start|>", "<|im_end|>\n"
 #: What follows the first letter of a control string, and any number of backslashes, in a text.
 _TAIL = r"(\|im_(?:start|end)\|>|/?s>|/?INST\]|/?SYS>>)"
 _BARE, _CONTROL, _ESCAPED = rf"[<\[]{_TAIL}", rf"([<\[])(\\*){_TAIL}", rf"([<\[])\\(\\*){_TAIL}"
+#: Characters of the pieces a formatted text is cut into when spans are read from it.
+_PIECE = 512
 #: A conversation whose texts are control strings themselves.
 PROBE = "</s>[INST] ok [/INST]"
 
@@ -96,19 +98,41 @@ def format_conversations(turns: DataFrame) -> DataFrame:
     return rows.select("conv_id", "formatted", "loss_spans", (parse(F.col("formatted")) == F.col("source")).alias("round_trip"))
 
 
+def masked(formatted: Column, spans: Column) -> Column:
+    """The unescaped texts under the spans of a formatted text, joined.
+
+    The text is cut into pieces once and each span is put together from the pieces it touches, so the cost follows the text and not the
+    number of spans times its length.
+    """
+
+    def cut(pieces: Column) -> Column:
+        def under(span: Column) -> Column:
+            first, last = (F.floor(at / _PIECE).cast("int") for at in (span["start"], span["start"] + span["length"]))
+            touched = F.array_join(F.slice(pieces, first + 1, last - first + 1), "")
+            return unescape(F.substr(touched, (span["start"] - first * _PIECE + 1).cast("int"), span["length"].cast("int")))
+
+        return F.array_join(F.transform(spans, under), "")
+
+    pieces = F.regexp_extract_all(formatted, F.lit(r"(?s).{1,%d}" % _PIECE), F.lit(0))
+    return F.transform(F.array(pieces), cut)[0]  # an array of one, so that the text is cut once
+
+
 def digest(formatted: DataFrame) -> DataFrame:
-    """``conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars, round_trip``, all read back from ``formatted``."""
+    """``conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars, round_trip``, all read back from ``formatted``.
+
+    The turns come from parsing it; what the loss is taken over is the text under ``loss_spans``, whatever the turns say.
+    """
 
     def joined(turns: Column, part: Callable[[Column], Column]) -> Column:
         return F.array_join(F.transform(turns, part), "")
 
-    rows = formatted.select("conv_id", "formatted", "round_trip", parse(F.col("formatted")).alias("turns"))
-    lost = joined(F.filter("turns", lambda t: t["role"] == "assistant"), lambda t: t["text"])
+    lost = masked(F.col("formatted"), F.col("loss_spans"))
+    rows = formatted.select("conv_id", "formatted", "round_trip", parse(F.col("formatted")).alias("turns"), lost.alias("lost"))
     rows = rows.select(
         "conv_id",
         F.size("turns").cast("long").alias("n_turns"),
         F.sha2(joined(F.col("turns"), lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), 256).alias("turns_sha256"),
-        lost.alias("lost"),
+        "lost",
         F.length("formatted").cast("long").alias("formatted_chars"),
         "round_trip",
     )
