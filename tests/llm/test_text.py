@@ -139,6 +139,19 @@ def test_conversations_round_trip(spark):
     assert chat.format_conversations(df.limit(0)).count() == 0
 
 
+def test_the_loss_is_read_through_the_mask(spark):
+    """A span that is shifted, missing or longer changes what is under the mask."""
+    rows = [(1, 0, "user", "hello"), (1, 1, "assistant", "a</s>é😀" * 300 + "b"), (1, 2, "assistant", ""), (1, 3, "assistant", "z")]
+    shown = chat.format_conversations(spark.createDataFrame(rows, "conv_id long, turn int, role string, text string"))
+    told = rows[1][3] + "z"
+    right = chat.digest(shown).first()
+    assert (right.loss_chars, right.loss_sha256) == (len(told), hashlib.sha256(told.encode()).hexdigest())
+    moved = "transform(loss_spans, s -> named_struct('start', s.start + {}, 'length', s.length + {}))"
+    for spans in (moved.format(1, 0), moved.format(-1, 0), moved.format(0, 1), "slice(loss_spans, 2, 2)"):
+        other = chat.digest(shown.withColumn("loss_spans", F.expr(spans))).first()
+        assert other.loss_sha256 != right.loss_sha256 and other.turns_sha256 == right.turns_sha256
+
+
 def test_chat_formatting_runs_no_python(spark):
     df = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     text = chat.formatted_conversations(df)._jdf.queryExecution().executedPlan().toString()
@@ -152,34 +165,73 @@ def test_automaton_accepts_exactly_the_substrings():
     r = random.Random(5)
     for _ in range(50):
         text = [r.randrange(3) for _ in range(r.randrange(1, 30))]
-        moves = language.suffix_automaton(text, 3)
+        moves = language.suffix_automaton(text)
         parts = {tuple(text[a:b]) for a in range(len(text)) for b in range(a, len(text) + 1)}
         for _ in range(100):
             word, state = [r.randrange(3) for _ in range(r.randrange(6))], 0
             for c in word:
-                state = moves[state][c] if state >= 0 else -1
+                state = moves[state].get(c, -1) if state >= 0 else -1
             assert (state >= 0) == (tuple(word) in parts)
 
 
-def test_phrases_are_longest_matches():
-    samples = {"a": ["abcabdabe", "xyz"], "b": ["zzyx cab"]}
-    parser, r = language.Parser(samples), random.Random(6)
-    texts = ["".join(r.choice("abcxyzé. ") for _ in range(r.randrange(700))) for _ in range(40)]
+def parsed(samples, text):
+    """Phrases of a whole text by the longest matches in a sample's text."""
+    held, runs = " ".join(samples) + " ", re.sub(r"[^\w]+", " ", text.lower()).lstrip()
+    known, at, n = set(held), 0, 0
+    while at < len(runs):
+        step = 1
+        while runs[at] in known and at + step < len(runs) and runs[at : at + step + 1] in held:
+            step += 1
+        at, n = at + step, n + 1
+    return len(runs), n
+
+
+SCRIPTS = {
+    "a": ["abcabdabe", "xyz"],
+    "b": ["zzyx cab"],
+    "zh": ["中文测试语言识别的样本文字", "我们在这里写一些汉字用于测试 语言"],
+    "ja": ["日本語のテキストを識別するための見本です", "漢字とかな"],
+}
+
+
+@pytest.mark.parametrize("dense", [120, 3])
+def test_phrases_are_longest_matches_over_whole_texts(monkeypatch, dense):
+    monkeypatch.setattr(language, "DENSE", dense)
+    parser, r = language.Parser(SCRIPTS), random.Random(6)
+    letters = "abcxyzé. " + "".join(sorted(set("".join(SCRIPTS["zh"] + SCRIPTS["ja"])))) + "龍"
+    pieces = [p for parts in SCRIPTS.values() for p in parts]
+    texts = ["".join(r.choice("abcxyzé. ") for _ in range(r.randrange(900))) for _ in range(20)]
+    texts += ["".join(r.choice(letters) for _ in range(r.randrange(900))) for _ in range(10)]
+    texts += ["".join(p[r.randrange(5) :] for p in r.choices(pieces, k=r.randrange(90))) for _ in range(20)]
+    texts += ["", " ", "abcabdabe " * 400, "龍" * 700]
     sizes, counts = parser.phrases(texts)
     for k, name in enumerate(parser.languages):
-        held = " ".join(samples[name]) + " "
         for text, n, got in zip(texts, sizes, counts[:, k]):
-            runs = re.sub(r"[^\w]+", " ", text).lstrip()
-            assert len(runs) == n
-            expected = 0
-            for w in range(0, len(runs), language.WINDOW):
-                part, at = runs[w : w + language.WINDOW], 0
-                while at < len(part):
-                    step = 1
-                    while at + step < len(part) and part[at : at + step + 1] in held:
-                        step += 1
-                    at, expected = at + step, expected + 1
-            assert got == expected
+            assert (n, got) == parsed(SCRIPTS[name], text)
+
+
+def test_predictions_and_scores_follow_from_the_phrases():
+    parser = language.Parser(SCRIPTS)
+    texts = ["abcabd xyz", "zyx", "语言识别的测试", "日本語の見本", "12 !", "漢字 测试", "q"]
+    for text, (found, score) in zip(texts, parser.predict(texts), strict=True):
+        if not any(map(str.isalpha, text)):
+            assert (found, score) == ("und", 0.0)
+            continue
+        cost = {}
+        for name in sorted(SCRIPTS):
+            size = sum(len(re.sub(r"[^\w]+", " ", p.lower()).lstrip()) + 1 for p in SCRIPTS[name])
+            cost[name] = parsed(SCRIPTS[name], text)[1] * math.log2(size + 1)
+        best, second = sorted(cost.values())[:2]
+        assert found == min(sorted(cost), key=cost.get) and score == pytest.approx(1 - best / second)
+    assert [parser.predict([t])[0][0] for t in texts[2:4]] == ["zh", "ja"]
+
+
+def test_samples_hold_whole_texts(spark):
+    rows = [(i, "w" * (10 + i)) for i in range(1, 60)] + [(100, "long " * 5000)]
+    docs = documents(spark, rows).withColumn("lang", F.when(F.col("doc_id") == 100, "fr").otherwise("en"))
+    found = language.samples(docs, per_language=4, letters=30)
+    assert len(found["en"]) == 4 and all(t in {x for _, x in rows} and len(t) <= 30 for t in found["en"])
+    assert found.get("fr", ["long " * 5000]) == ["long " * 5000]
 
 
 def test_languages_on_held_out_rows(spark, sf):

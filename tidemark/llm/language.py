@@ -20,9 +20,11 @@ from pyspark.sql.window import Window
 from tidemark.llm.store import held_out
 from tidemark.llm.words import blocks
 
-#: Documents and letters of a document that a language's sample takes at most, distinct letters, and letters of a parsing window.
-SAMPLE_DOCS, SAMPLE_LETTERS, LETTERS, WINDOW = 64, 400, 120, 256
+#: Labelled documents that a language's sample takes, and the letters up to which a document is preferred for it; symbols that have a column of their
+#: own in the tables, others being looked up; letters of a window. The first two bound the sample, the others steer speed alone.
+SAMPLE_DOCS, SAMPLE_LETTERS, DENSE, WINDOW = 16, 1600, 120, 256
 _END = 1 << 30  # marks a transition that begins a new phrase
+_SYMBOL_BITS = 21
 
 
 @lru_cache(maxsize=1)
@@ -34,16 +36,16 @@ def codes(text: str) -> np.ndarray:
     return np.frombuffer(text.lower().encode("utf-32-le", "replace"), np.uint32)
 
 
-def suffix_automaton(text: list[int], width: int) -> list[list[int]]:
-    """Transitions of the smallest automaton of all substrings of ``text``, -1 where there is none."""
-    moves, link, length, last = [[-1] * width], [-1], [0], 0
+def suffix_automaton(text: list[int]) -> list[dict[int, int]]:
+    """Transitions of the smallest automaton of all substrings of ``text``, by state."""
+    moves, link, length, last = [{}], [-1], [0], 0
     for c in text:
         new = len(moves)
-        moves.append([-1] * width)
+        moves.append({})
         link.append(0)
         length.append(length[last] + 1)
         p = last
-        while p >= 0 and moves[p][c] < 0:
+        while p >= 0 and c not in moves[p]:
             moves[p][c] = new
             p = link[p]
         if p >= 0:
@@ -52,10 +54,10 @@ def suffix_automaton(text: list[int], width: int) -> list[list[int]]:
                 link[new] = q
             else:
                 copy = len(moves)
-                moves.append(list(moves[q]))
+                moves.append(dict(moves[q]))
                 link.append(link[q])
                 length.append(length[p] + 1)
-                while p >= 0 and moves[p][c] == q:
+                while p >= 0 and moves[p].get(c) == q:
                     moves[p][c] = copy
                     p = link[p]
                 link[q] = link[new] = copy
@@ -64,63 +66,115 @@ def suffix_automaton(text: list[int], width: int) -> list[list[int]]:
 
 
 class Parser:
-    """The automata of all languages over one alphabet: 0 for what is no letter, 1 for letters no sample has."""
+    """The automata of all languages over one alphabet: 0 for what is no letter, 1 for letters no sample has, then every letter of a sample.
+
+    A state is its place in the table of frequent symbols. Transitions by other symbols lie in a sorted list of (state, symbol), so a
+    script of thousands of letters costs what its sample holds.
+    """
 
     def __init__(self, samples: dict[str, list[str]]):
         self.languages = sorted(samples)
         seen = Counter(c for parts in samples.values() for part in parts for c in part.lower() if c.isalpha())
-        chosen = sorted(c for c, _ in sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:LETTERS])
-        self.width = len(chosen) + 2
-        self.symbol = np.where(_is_letter(), 1, 0).astype(np.uint8)
-        for k, c in enumerate(chosen):
+        letters = [c for c, _ in sorted(seen.items(), key=lambda x: (-x[1], x[0]))]
+        self.width = min(len(letters), DENSE) + 2
+        self.symbol = np.where(_is_letter(), 1, 0).astype(np.int32)
+        for k, c in enumerate(letters):
             self.symbol[ord(c)] = k + 2
-        tables, self.roots, self.bits, base = [], [], [], 0
+        tables, roots, keys, values, self.bits, base = [], [], [], [], [], 0
         for language in self.languages:
-            text = np.concatenate([np.append(self._symbols(part), 0) for part in samples[language]] or [np.zeros(1, np.uint8)])
-            table = np.array(suffix_automaton(text.tolist(), self.width), np.int64)
+            text = np.concatenate([np.append(self._symbols(part), 0) for part in samples[language]] or [np.zeros(1, np.int32)])
+            moves = suffix_automaton(text.tolist())
+            if base + len(moves) * self.width >= _END:
+                raise ValueError("the samples of all languages together need over 2^30 transitions; take fewer documents of each")
+            table = np.full((len(moves), self.width), -1, np.int64)
+            for state, found in enumerate(moves):
+                for symbol, target in found.items():
+                    if symbol < self.width:
+                        table[state, symbol] = target
+                    else:  # what is read in the first state begins a phrase
+                        keys.append((base // self.width + state) << _SYMBOL_BITS | symbol)
+                        values.append((base + target * self.width) | (0 if state else _END))
             table[:, 1] = -1  # an unknown letter is a phrase of its own
             first = np.where(table[0] >= 0, table[0], 0)
             table = np.where(table >= 0, base + table * self.width, (base + first * self.width) | _END)
             table[0] |= _END  # what is read in the first state, after an unknown letter as well, begins a phrase
             tables.append(table.astype(np.int32).ravel())
-            self.roots.append(base)
+            roots.append(base)
             self.bits.append(math.log2(len(text) + 1))
             base += table.size
+        self.roots = np.array(roots, np.int32)[:, None]
         self.table = np.concatenate(tables) if tables else np.zeros(0, np.int32)
+        order = np.argsort(np.array(keys, np.int64))
+        self.keys = np.append(np.array(keys, np.int64)[order], np.iinfo(np.int64).max)
+        self.values = np.append(np.array(values, np.int32)[order], 0).astype(np.int32)
 
     def _symbols(self, text: str) -> np.ndarray:
         """The letters of a text, each run of other characters as one 0."""
         s = self.symbol[codes(text)]
         return s[(s > 0) | np.concatenate(([False], s[:-1] > 0))]
 
+    def _look_up(self, states: np.ndarray, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        wanted = (states.astype(np.int64) // self.width) << _SYMBOL_BITS | symbols
+        at = np.searchsorted(self.keys, wanted)
+        return self.values[at], self.keys[at] == wanted
+
+    def _step(self, states: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+        """The states, by language and window, after one symbol of each window, with ``_END`` where it begins a phrase."""
+        rare = symbols >= self.width
+        if not rare.any():
+            return self.table[states + symbols]
+        found = self.table[states + np.where(rare, 0, symbols)]
+        at = np.flatnonzero(rare)
+        inside, known = self._look_up(states[:, at], symbols[at])
+        fresh, begins = self._look_up(np.broadcast_to(self.roots, inside.shape), symbols[at])
+        found[:, at] = np.where(known, inside, np.where(begins, fresh | _END, self.roots | _END))
+        return found
+
+    def _read(self, windows: np.ndarray, left: np.ndarray, states: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The state in which each window ends, and the phrases that begin in it, given the state it is entered with."""
+        order = np.argsort(-left, kind="stable")
+        steps = np.ascontiguousarray(windows[order].T)
+        alive = np.searchsorted(-left[order], -np.arange(WINDOW), "left")  # windows longer than each step
+        state, total = np.ascontiguousarray(states[:, order]), np.zeros(states.shape, np.int32)
+        for k in range(WINDOW):
+            n = alive[k]
+            if not n:
+                break
+            found = self._step(state[:, :n], steps[k, :n])
+            total[:, :n] += found >> 30
+            state[:, :n] = found & (_END - 1)
+        back = np.empty_like(order)
+        back[order] = np.arange(len(order))
+        return state[:, back], total[:, back]
+
     def phrases(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Symbols of each text, and its phrases by language; windows of ``WINDOW`` symbols are parsed side by side."""
+        """Symbols of each text, and the phrases of the whole text by language.
+
+        Texts are cut into windows of ``WINDOW`` symbols that are read side by side, at first as if each began a phrase. A window whose
+        predecessor turns out to end in another state than it was entered with is read again from that state, until none is left. Readings
+        from different states soon meet in one, so this takes few rounds; the counts are those of reading every text in one go.
+        """
         rows = [self._symbols(t) for t in texts]
         sizes = np.array([len(r) for r in rows], np.int64)
         counts = np.zeros((len(texts), len(self.languages)), np.int64)
         windows = -(-sizes // WINDOW)
         if windows.sum() and self.languages:
-            padded = np.zeros((windows.sum(), WINDOW), np.int32)
-            left = np.zeros(windows.sum(), np.int64)
+            padded, left = np.zeros((windows.sum(), WINDOW), np.int32), np.zeros(windows.sum(), np.int64)
             ends = np.cumsum(windows)
             for k, r in enumerate(rows):
                 if len(r):
-                    part = padded[ends[k] - windows[k] : ends[k]]
-                    part.reshape(-1)[: len(r)] = r
+                    padded[ends[k] - windows[k] : ends[k]].reshape(-1)[: len(r)] = r
                     left[ends[k] - windows[k] : ends[k]] = np.minimum(WINDOW, len(r) - WINDOW * np.arange(windows[k]))
-            order = np.argsort(-left, kind="stable")
-            steps = np.ascontiguousarray(padded[order].T)
-            alive = np.searchsorted(-left[order], -np.arange(WINDOW), "left")  # windows longer than each step
-            state = np.repeat(np.array(self.roots, np.int32)[:, None], len(left), 1)
-            total = np.zeros(state.shape, np.int32)
-            for k in range(WINDOW):
-                n = alive[k]
-                if not n:
-                    break
-                found = self.table[state[:, :n] + steps[k, :n]]
-                total[:, :n] += found >> 30
-                state[:, :n] = found & (_END - 1)
-            row = np.repeat(np.arange(len(texts)), windows)[order]
+            row = np.repeat(np.arange(len(texts)), windows)
+            follows = np.append(row[1:] == row[:-1], False)
+            entered = np.repeat(self.roots, len(left), 1)
+            ended, total, open_ = entered.copy(), np.zeros(entered.shape, np.int32), np.arange(len(left))
+            while len(open_):
+                ended[:, open_], total[:, open_] = self._read(padded[open_], left[open_], entered[:, open_])
+                before = open_[follows[open_]]
+                before = before[(entered[:, before + 1] != ended[:, before]).any(axis=0)]
+                entered[:, before + 1] = ended[:, before]
+                open_ = before + 1
             for k in range(len(self.languages)):
                 counts[:, k] = np.bincount(row, total[k], len(texts))
         return sizes, counts
@@ -141,21 +195,21 @@ class Parser:
 
 
 def samples(docs: DataFrame, per_language: int = SAMPLE_DOCS, letters: int = SAMPLE_LETTERS) -> dict[str, list[str]]:
-    """Some text of at most ``per_language`` documents of each language outside the held-out fifth.
+    """The whole texts of at most ``per_language`` documents of each language outside the held-out fifth.
 
-    Documents are drawn by a hash of the id before texts are touched, and their ids broadcast to the scan; of each at most ``letters`` letters
-    from its middle come to the driver. A label of documents without ids is not learned.
+    Documents of up to ``letters`` letters come first, in the order of a hash of their id, then longer ones, the shortest first. So the sample is
+    bounded by its number of documents, and in letters wherever a language has enough documents of that size. Ids are drawn before
+    texts are touched and broadcast to the scan; a label of documents without ids is not learned.
     """
     usable = docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out() & (F.length("text") > 0))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    drawn = usable.select("doc_id", "lang").withColumn("rank", rank).filter(F.col("rank") <= per_language)
+    size = F.greatest(F.length("text"), F.lit(letters))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("size", F.xxhash64("doc_id"), "doc_id"))
+    drawn = usable.select("doc_id", "lang", size.alias("size")).withColumn("rank", rank).filter(F.col("rank") <= per_language).drop("size")
     texts = docs.select("doc_id", "text", F.col("lang").alias("l")).join(F.broadcast(drawn), "doc_id").filter("l = lang")
-    middle = F.greatest(F.floor((F.length("text") - letters) / 2), F.lit(0)) + 1
-    rows = texts.select("lang", "rank", F.substr("text", middle.cast("int"), F.lit(letters)).alias("part")).collect()
     out: dict[str, list[str]] = {}
-    for r in sorted(rows, key=lambda r: (r.lang, r.rank, r.part)):
-        out.setdefault(r.lang, []).append(r.part)
-    return out
+    for r in sorted(texts.select("lang", "rank", "text").collect(), key=lambda r: (r.lang, r.rank, r.text or "")):
+        out.setdefault(r.lang, []).append(r.text or "")
+    return {language: parts[:per_language] for language, parts in out.items()}
 
 
 def language_of(sample: dict[str, list[str]], text: str = "text"):
@@ -177,8 +231,9 @@ def language_of(sample: dict[str, list[str]], text: str = "text"):
 def predict_documents(docs: DataFrame) -> DataFrame:
     """``doc_id, held_out, lang_pred, score`` for every row of ``docs`` (doc_id, text, lang, any others).
 
-    Whole texts are parsed, in windows. The score is what the best language saves against the second. Texts that are null or
-    have no letter are ``und``, and so is every text if nothing is labelled. Ties go to the first label by name.
+    Whole texts are parsed. The score is what the best language saves against the second. Texts that are null or
+    have no letter are ``und``, and so is every text if nothing is labelled. Ties go to the first label by name. Null, repeated and equal
+    rows each give their row; an empty table gives an empty result.
     """
     rows = docs.select("doc_id", held_out().alias("held_out"), language_of(samples(docs)).alias("p"))
     return rows.select("doc_id", "held_out", F.col("p.lang").alias("lang_pred"), F.col("p.score").alias("score"))
