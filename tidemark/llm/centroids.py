@@ -20,20 +20,32 @@ def _literal(values: Sequence[int]) -> Column:
     return F.expr(f"array({', '.join(f'{v}L' for v in values)})")
 
 
-def nearest(vector: str, centroids: Centroids) -> Column:
-    """``struct(distance, cluster)`` of the nearest centroid by squared Euclidean distance, the smaller number at a tie.
+def _summed(products: Column) -> Column:
+    return F.aggregate(products, F.lit(0).cast("long"), lambda s, x: s + x)
+
+
+def _least(vector: str, centroids: Centroids) -> Column:
+    """``struct(rest, cluster)`` of the nearest centroid, where rest is its squared distance less that of the vector from the origin.
 
-    The centroids are literals of the expression: folded once, read by every task from its own code, nothing to broadcast.
+    With x.x - 2 x.c + c.c for the distance, x.x is the same for all centroids and decides nothing. The centroids are literals of the
+    expression: folded once, read by every task from its own code, nothing to broadcast.
     """
-    zero = F.lit(0).cast("long")
 
     def one(centroid: Sequence[int], number: int) -> Column:
-        squares = F.zip_with(vector, _literal(centroid), lambda x, c: (x - c) * (x - c))
-        return F.struct(F.aggregate(squares, zero, lambda s, x: s + x).alias("distance"), F.lit(number).alias("cluster"))
+        shared = _summed(F.zip_with(vector, _literal([2 * c for c in centroid]), lambda x, c: x * c))
+        rest = F.lit(sum(c * c for c in centroid)).cast("long") - shared
+        return F.struct(rest.alias("rest"), F.lit(number).alias("cluster"))
 
     return F.array_min(F.array(*[one(c, k) for k, c in enumerate(centroids)]))
 
 
+def nearest(vector: str, centroids: Centroids) -> Column:
+    """``struct(distance, cluster)`` of the nearest centroid by squared Euclidean distance, the smaller number at a tie."""
+    own = _summed(F.transform(vector, lambda x: x * x))
+    found = F.transform(F.array(_least(vector, centroids)), lambda b: F.struct((b["rest"] + own).alias("distance"), b["cluster"].alias("cluster")))
+    return found[0]
+
+
 def first_centroids(vectors: DataFrame, k: int, seed: int) -> list[list[int]]:
     """The ``k`` vectors with the smallest SHA-256 of ``seed:id``; equal hashes by vector. Brings k rows to the driver."""
     label = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("vec_id").cast("string"), F.lit("")))
@@ -47,7 +59,7 @@ def moved(vectors: DataFrame, centroids: Centroids, size: int) -> list[list[int]
     One pass: sums of ``size`` columns by cluster, added up per task before the shuffle, so a cluster with most of the rows sends
     one row per task. The driver receives one row per cluster, whatever the number of vectors.
     """
-    placed = vectors.select(nearest("v", centroids).getField("cluster").alias("cluster"), *[F.col("v")[i].alias(f"x{i}") for i in range(size)])
+    placed = vectors.select(_least("v", centroids).getField("cluster").alias("cluster"), *[F.col("v")[i].alias(f"x{i}") for i in range(size)])
     sums = placed.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), *[F.sum(f"x{i}").alias(f"x{i}") for i in range(size)])
     after = [list(c) for c in centroids]
     for r in sums.collect():
