@@ -6,7 +6,7 @@ from collections import defaultdict
 import pytest
 
 import corpus_pipeline
-from tests.llm.brute import lower, similar
+from tests.llm.brute import HARD, documents, lower, similar
 from tidemark.llm import toxicity
 from tidemark.llm.store import read, stored
 
@@ -71,3 +71,31 @@ def test_all_that_is_left_is_packed(passed):
         lengths[r.doc_id] += r.length
         totals[r.doc_id] = r.doc_tokens
     assert lengths == totals
+
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_stages_take_hard_rows_with_clashing_columns(spark):
+    """Nulls, repeated ids and rows, ties, very long texts and columns named like computed ones, through every stage in turn."""
+    docs = documents(spark, [*HARD, (11, "x y z"), (12, None), (12, None)])
+    columns, kept = docs.columns, []
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stored(stage(spark, docs, SF), f"hard-{name}")
+        assert docs.columns == columns
+        kept.append(sorted(((r.doc_id, (r.text or "")[:20]) for r in docs.select("doc_id", "text").collect()), key=repr))
+    toxic, exact, near, clean = kept
+    assert len(toxic) == len(HARD) + 3
+    assert len([t for _, t in exact if not t]) == 1 and (1, "") in exact
+    assert exact.count((8, "twice the same row, ")) == 1 and {t for i, t in exact if i == 9} == {"one id", "two texts"}
+    assert near == clean == [r for r in exact if r[0] != 5]  # the words of 4, written otherwise
+    packed = corpus_pipeline.pack(spark, docs, SF).collect()
+    assert {r.doc_id for r in packed} == {i for i, _ in clean} and all(r.offset + r.length <= 4096 for r in packed)
+
+
+def test_stages_take_an_empty_table(spark):
+    docs = documents(spark, [])
+    for name, stage in corpus_pipeline.STAGES:
+        found = stage(spark, docs, SF)
+        assert found.count() == 0
+        assert name == "packing" or found.columns == docs.columns
