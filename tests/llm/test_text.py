@@ -6,7 +6,6 @@ import struct
 import zlib
 from collections import Counter, defaultdict
 
-import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -343,16 +342,6 @@ def test_edit_distance():
         assert fuzzy_lines.edit_distance(a, b) == plain(a, b)
 
 
-def test_blocks_meet_within_the_allowed_bits():
-    r = random.Random(9)
-    for blocks in (4, 5, 6, 7):
-        masks = fuzzy_lines.block_masks(blocks)
-        for _ in range(50):
-            a = r.getrandbits(64)
-            b = a ^ sum(1 << k for k in r.sample(range(64), fuzzy_lines.BITS))
-            assert any(a & m == b & m for m in masks)
-
-
 def test_lines_equal_brute_force(spark):
     r, rows = random.Random(10), [(1, None), (2, ""), (3, "short\nshort"), (4, "x" * 100_000)]
     base = [f"word{k}" for k in range(80)]
@@ -362,16 +351,15 @@ def test_lines_equal_brute_force(spark):
             w[r.randrange(80)] = "zz" + r.choice("abcdefgh")
         rows.append((10 + i, " ".join(w) + "\nshort\n" + " ".join(w[:30]) + " 1234"))
     lines = [
-        (i, k, re.sub(r"[0-9]", "0", re.sub(r"\s+", " ", x.lower()).strip(" ")))
+        (i, k, re.sub(r"\s+", " ", x.lower()).strip(" "))
         for i, t in rows
         for k, x in enumerate((t or "").split("\n"))
     ]
     lines = [x for x in lines if len(x[2]) >= fuzzy_lines.SHORTEST]
     norms = sorted({x[2] for x in lines})
-    bits = fuzzy_lines.simhashes(pa.array(norms, pa.string()))
     parent = {n: n for n in norms}
     for a in range(len(norms)):
-        for b in np.flatnonzero(np.bitwise_count(bits[:a] ^ bits[a]) <= fuzzy_lines.BITS) if a else []:
+        for b in range(a):
             x, y = norms[a], norms[b]
             longest = max(len(x), len(y))
             if fuzzy_lines.edit_distance(x, y) <= longest - math.ceil(fuzzy_lines.SIMILAR * longest):
