@@ -23,7 +23,7 @@ DAY_SQL = f"CAST(year({LANDED}) AS INTEGER) AS year, CAST(month({LANDED}) AS INT
 
 @register("write_landing", f"SELECT {ITEM_SQL}, {DAY_SQL} FROM raw_items")
 def _(spark, sf):
-    return read_landing(spark, landing(spark, sf), "order_items").select(*ITEM_ROW, "year", "month", "day")
+    return read_landing(spark, landing(spark, sf, "order_items"), "order_items").select(*ITEM_ROW, "year", "month", "day")
 
 
 @register(
@@ -34,10 +34,9 @@ def _(spark, sf):
     ),
 )
 def _(spark, sf):
-    root = landing(spark, sf)
     parts = []
     for e in ("orders", "order_items", "reviews"):
-        days = read_landing(spark, root, e).groupBy("year", "month", "day").agg(F.count(F.lit(1)).alias("rows"))
+        days = read_landing(spark, landing(spark, sf, e), e).groupBy("year", "month", "day").agg(F.count(F.lit(1)).alias("rows"))
         parts.append(days.withColumn("table_name", F.lit(e)))
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
@@ -47,7 +46,7 @@ def _(spark, sf):
     f"SELECT order_id, order_item_id, \"{COMMIT_TS}\", {LANDED} + INTERVAL '12 hours 34 minutes 56 seconds' AS _ingested_at FROM raw_items",
 )
 def _(spark, sf):
-    rows = bronze_metadata(read_landing(spark, landing(spark, sf), "order_items"), NOW)
+    rows = bronze_metadata(read_landing(spark, landing(spark, sf, "order_items"), "order_items"), NOW)
     return rows.select(*ITEM, COMMIT_TS, "_ingested_at")
 
 
@@ -56,7 +55,7 @@ def _(spark, sf):
     f"SELECT year, month, day, count(*) AS rows, count(*) AS located_rows FROM (SELECT {DAY_SQL} FROM raw_items) GROUP BY ALL",
 )
 def _(spark, sf):
-    rows = source_lineage(read_landing(spark, landing(spark, sf), "order_items"))
+    rows = source_lineage(read_landing(spark, landing(spark, sf, "order_items"), "order_items"))
     folder = F.concat(
         *[x for c in ("year", "month", "day") for x in (F.lit(f"/{c}="), F.col(c).cast("string"))], F.lit("/")
     )
@@ -164,7 +163,7 @@ def _(spark, sf):
 @register("compact", f"SELECT {ITEM_SQL}, {DAY_SQL} FROM raw_items")
 def _(spark, sf):
     path = scratch(spark, "compacted")
-    files.compact(spark, f"{landing(spark, sf)}/order_items", path, ["year", "month", "day"])
+    files.compact(spark, f"{landing(spark, sf, 'order_items')}/order_items", path, ["year", "month", "day"])
     return spark.read.parquet(path).select(*ITEM_ROW, "year", "month", "day")
 
 
@@ -210,4 +209,4 @@ def _(spark, sf):
 
 @register("change_columns", "SELECT * FROM raw_payments")
 def _(spark, sf):
-    return read_landing(spark, landing(spark, sf), "payments").select(*change_columns("payments"))
+    return read_landing(spark, landing(spark, sf, "payments"), "payments").select(*change_columns("payments"))
