@@ -70,11 +70,14 @@ def _(spark, sf):
     return drifting_days(items, profiles, COMMIT_TS, "price", DAYS, MEDIAN_BAND, NULL_BAND)
 
 
+SOLD = ("dim_date", "fact_order_items")
+
+
 def sketches(spark, sf):
     """Orders, sellers and products sold, sketched by month, day of the week and state of the seller."""
 
     def build(root):
-        star = stored_star(spark, sf)
+        star = stored_star(spark, sf, SOLD)
         days = star["dim_date"].select(F.col("date_sk").alias("_day"), "year", "year_month", "is_weekend")
         rows = star["fact_order_items"].join(days, F.col("purchase_date_sk") == F.col("_day"))
         distinct_sketches(rows, ("year", "year_month", "is_weekend"), COUNTED).write.parquet(root)
@@ -88,6 +91,24 @@ LEVELS = {"year": ("year",), "year_month": ("year_month",), "weekend": ("is_week
 CLOSE = 0.05  # over three standard deviations of a sketch of this size
 
 
+def _member(by):
+    return F.concat_ws("/", *[F.col(c).cast("string") for c in by]) if by else F.lit("all")
+
+
+def exact_counts(rows):
+    """``level, member`` and the distinct values of each kind, for all levels at once.
+
+    Values are made distinct at the finest grain, then meet by kind and value; there each is made distinct for every member it occurs
+    in, so only counts travel on. A value that fills the table is a few rows by then.
+    """
+    values = F.array(*[F.struct(F.lit(n).alias("of"), F.col(c).cast("string").alias("value")) for n, c in COUNTED.items()])
+    levels = F.array(*[F.struct(F.lit(level).alias("level"), _member(by).alias("member")) for level, by in LEVELS.items()])
+    grain = ["year", "year_month", "is_weekend"]
+    met = rows.select(*grain, F.inline(values)).distinct().repartition("of", "value")
+    once_each = met.select("of", "value", F.inline(levels)).distinct().filter("value is not null")
+    return once_each.groupBy("level", "member").agg(*[F.count_if(F.col("of") == n).alias(n) for n in COUNTED])
+
+
 def _exact(level, by):
     named = " || '/' || ".join(f"CAST({c} AS VARCHAR)" for c in by) or "'all'"
     values = ", ".join(f"count(DISTINCT {c}) AS {n}" for n, c in COUNTED.items())
@@ -102,17 +123,17 @@ def _exact(level, by):
 )
 def _(spark, sf):
     """Distinct counts at four levels: exact, and whether the estimate out of the stored sketches is close."""
-    star, parts = stored_star(spark, sf), []
+    star, parts = stored_star(spark, sf, SOLD), []
     days = star["dim_date"].select(F.col("date_sk").alias("_day"), "year", "year_month", "is_weekend")
     rows = star["fact_order_items"].join(days, F.col("purchase_date_sk") == F.col("_day"))
+    exact = exact_counts(rows)
     for level, by in LEVELS.items():
-        member = F.concat_ws("/", *[F.col(c).cast("string") for c in by]) if by else F.lit("all")
-        label = [F.lit(level).alias("level"), member.alias("member")]
+        label = [F.lit(level).alias("level"), _member(by).alias("member")]
         told = distinct_estimates(sketches(spark, sf), list(COUNTED), by).select(*label, *[F.col(n).alias(f"_{n}") for n in COUNTED])
-        exact = rows.groupBy(*by).agg(*[F.count_distinct(c).alias(n) for n, c in COUNTED.items()]).select(*label, *COUNTED)
-        close = [(F.abs(F.col(f"_{n}") - F.col(n)) <= CLOSE * F.col(n)).alias(f"{n}_close") for n in COUNTED]
-        parts.append(exact.join(told, ["level", "member"]).select("level", "member", *COUNTED, *close))
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+        parts.append(told)
+    told = parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+    close = [(F.abs(F.col(f"_{n}") - F.col(n)) <= CLOSE * F.col(n)).alias(f"{n}_close") for n in COUNTED]
+    return told.join(exact, ["level", "member"], "left").na.fill(0, list(COUNTED)).select("level", "member", *COUNTED, *close)
 
 
 @register(
@@ -123,7 +144,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     """Products sold both at weekends and on working days: exact, and whether the intersection of sketches is close."""
-    star = stored_star(spark, sf)
+    star = stored_star(spark, sf, SOLD)
     days = star["dim_date"].select(F.col("date_sk").alias("_day"), "is_weekend")
     sold = star["fact_order_items"].join(days, F.col("purchase_date_sk") == F.col("_day")).select("product_id", "is_weekend")
     exact = sold.groupBy("product_id").agg(F.max("is_weekend").alias("a"), F.min("is_weekend").alias("b"))
