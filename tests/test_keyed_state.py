@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tests.helpers import as_set
 from tidemark.operators.cdc import scd1_apply
+from tidemark.streaming import keyed_state
 from tidemark.streaming.keyed_state import living_rows, remembered_deletions, settle
 
 SCHEMA = "k string, n int, at timestamp_ntz, OP string, v double, note string"
@@ -62,3 +63,14 @@ def test_a_deletion_is_remembered_until_it_expires(spark, deliver):
     time.sleep(16)
     deliver([("a", 1, "2020-01-01 00:00:02", "U", 2.0, "later"), ("b", 1, "2020-01-01 00:00:02", "I", 2.0, None)], 15_000)
     assert as_set(living_rows(spark, deliver.cp, schema), "k", "v") == {("a", 2.0), ("b", 2.0)}
+
+
+def test_keys_of_a_bucket_share_a_call_and_stay_apart(spark, deliver, monkeypatch):
+    monkeypatch.setattr(keyed_state, "BUCKETS", 4)
+    rows = [(f"k{i}", i % 2, "2020-01-01 00:00:05", "I", float(i), None) for i in range(100)]
+    schema = deliver(rows).schema
+    deliver([(f"k{i}", i % 2, f"2020-01-01 00:00:0{3 + i % 4}", "DU"[i % 4 == 3], -1.0, None) for i in range(100)])
+    assert spark.read.format("statestore").option("path", deliver.cp).load().count() <= 4
+    want = {(f"k{i}", -1.0 if i % 4 == 3 else float(i)) for i in range(100) if i % 4 != 2}
+    assert as_set(living_rows(spark, deliver.cp, schema), "k", "v") == want
+    assert as_set(remembered_deletions(spark, deliver.cp, schema), "k") == {(f"k{i}",) for i in range(100) if i % 4 == 2}
