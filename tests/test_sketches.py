@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import sketches
-from tidemark.operators.sketches import daily_profile, distinct_estimates, distinct_sketches, drifting_days, exact_quantiles, merged, shared_estimate
+from tidemark.operators.sketches import _long, _picked, daily_profile, distinct_estimates, distinct_sketches, drifting_days, exact_quantiles, merged, shared_estimate
 
 
 def linear(values, p):
@@ -105,3 +105,13 @@ def test_distinct_sketches_merge_and_intersect(spark):
     shared = shared_estimate(stored, "people", F.col("month") < 3, F.col("month") >= 3).first().shared
     real = df.filter("month < 3").select("who").intersect(df.filter("month >= 3").select("who")).count()
     assert abs(shared - real) <= 0.06 * 5000
+
+
+def test_values_of_a_column_are_not_gathered_in_one_task(spark, capfd):
+    df = spark.range(20_000).selectExpr("id % 701 a", "id b")
+    exact_quantiles(df, ["a", "b"], (0.25, 0.5)).collect()  # verified brackets are kept: nothing is planned over the values any more
+    values = _long(df, ["a", "b"], ())
+    wanted = values.groupBy("column").agg(F.count(F.lit(1)).alias("n")).selectExpr("column", "0.5D probability", "0L low", "0L high", "n", "-1D a", "1D b").checkpoint()
+    capfd.readouterr()
+    _picked(values, wanted, ["column"], ()).explain()
+    assert "BroadcastHashJoin" in capfd.readouterr().out

@@ -52,16 +52,21 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequen
     wanted = first.select(*key, "n", "least", "most", F.inline(F.array(*[bracket(p) for p in probabilities])))
     at = F.col("probability") * (F.col("n") - 1)
     wanted = wanted.withColumns({"low": F.floor(at), "high": F.ceil(at)}).checkpoint()
-    found = _picked(values, wanted, key)
+    found = _picked(values, wanted, key, by).checkpoint()
     missed = wanted.join(found.select(*key, "probability"), [*key, "probability"], "left_anti")
     missed = missed.withColumns({"a": F.col("least"), "b": F.col("most")}).checkpoint()
-    return found if missed.isEmpty() else found.unionByName(_picked(values, missed, key))
+    return found if missed.isEmpty() else found.unionByName(_picked(values, missed, key, by))
 
 
-def _picked(values: DataFrame, wanted: DataFrame, key: Sequence[str]) -> DataFrame:
-    """The quantiles whose ranks lie inside their brackets ``a`` to ``b``."""
+def _picked(values: DataFrame, wanted: DataFrame, key: Sequence[str], by: Sequence[str]) -> DataFrame:
+    """The quantiles whose ranks lie inside their brackets ``a`` to ``b``.
+
+    Without groups there is one bracket per column and probability; these go to the values, as a join by shuffle would bring all values
+    of a column to one task.
+    """
     slot = [*key, "probability"]
-    near = values.join(wanted.select(*key, "probability", "low", "high", "n", "a", "b"), list(key)).filter(F.col("value") <= F.col("b"))
+    brackets = wanted.select(*key, "probability", "low", "high", "n", "a", "b")
+    near = values.join(brackets if by else F.broadcast(brackets), list(key)).filter(F.col("value") <= F.col("b"))
     value = F.when(F.col("value") >= F.col("a"), F.col("value"))  # NULL stands for all values below the bracket
     counted = near.groupBy(*slot, "low", "high", "n", value.alias("value")).agg(F.count(F.lit(1)).alias("times"))
     upto = F.sum("times").over(Window.partitionBy(*slot).orderBy(F.col("value").asc_nulls_first()))
