@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.sources.files import file_ranges, write_clustered
+from tidemark.session import READ_AT_ONCE, small_reads
 from tidemark.sources.layout import interleaved, ranked, share_read, write_interleaved
 
 
@@ -64,3 +65,29 @@ def test_bits_are_interleaved(spark):
 def test_an_empty_table(spark, tmp_path):
     write_interleaved(spark.createDataFrame([], "a long, b string"), str(tmp_path / "e"), ["a", "b"])
     assert spark.read.schema("a long, b string").parquet(str(tmp_path / "e")).count() == 0
+
+
+def test_wide_rows_are_computed_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def wide(parts):
+        for part in parts:
+            seen.add(part.num_rows)
+            yield part
+
+    points = spark.range(500).selectExpr("id a", "id % 7 b", "string(id) note")
+    write_interleaved(points.mapInArrow(wide, points.schema), str(tmp_path / "z"), ["a", "b"], 4)
+    assert seen.value == 2 * 500  # once for the stored columns, once for the files
+    assert spark.read.parquet(str(tmp_path / "z")).count() == 500
+
+
+def test_small_reads_keep_a_setting(spark, tmp_path):
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name, None)
+    spark.conf.unset(name)
+    small_reads(spark)
+    assert spark.conf.get(name) == READ_AT_ONCE
+    spark.conf.set(name, "5m")
+    small_reads(spark)
+    assert spark.conf.get(name) == "5m"
+    spark.conf.unset(name) if before is None else spark.conf.set(name, before)

@@ -25,6 +25,17 @@ def builder(app_name: str = "tidemark", **settings: str) -> SparkSession.Builder
     return b
 
 
+#: Bytes of stored files one task reads: some hundred MB of rows, which it can sort in memory beside its neighbours. Spark's own 128 MB
+#: of Parquet become over a GB, which is sorted on disk.
+READ_AT_ONCE = "16m"
+
+
+def small_reads(spark: SparkSession) -> None:
+    """Files are dealt to tasks in parts of ``READ_AT_ONCE``, unless the session has a setting of its own for that."""
+    if spark.conf.get("spark.sql.files.maxPartitionBytes", None) is None:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", READ_AT_ONCE)
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 

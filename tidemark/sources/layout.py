@@ -35,17 +35,21 @@ def ordinal(df: DataFrame, column: str) -> Column:
     return F.when(F.isnan(value), F.lit(float("inf"))).otherwise(F.coalesce(value, F.lit(_NONE)))
 
 
-def ranked(df: DataFrame, columns: Sequence[str], bits: int = BITS) -> DataFrame:
+def quantile_cuts(df: DataFrame, columns: Sequence[str], bits: int = BITS) -> list[list[float]]:
+    """For each column the ``2^bits`` quantiles of the whole table that part its ranks."""
+    finite = df.select(*[F.when(F.abs(o) < float("inf"), o).alias(f"_o{i}") for i, o in enumerate(ordinal(df, c) for c in columns)])
+    return finite.approxQuantile(finite.columns, [k / (1 << bits) for k in range(1, 1 << bits)], ERROR)
+
+
+def ranked(df: DataFrame, columns: Sequence[str], bits: int = BITS, cuts: Sequence[Sequence[float]] | None = None) -> DataFrame:
     """``df`` with ``_r0, _r1, ..``: for each column the rank of its value among all rows, in ``2^bits`` steps.
 
     The cuts are quantiles of the whole table, at most ``2^bits`` numbers a column, so a step holds about as many rows as any other
     however the values are spread; of equal quantiles the first gives the rank.
     """
-    steps = 1 << bits
+    cuts = quantile_cuts(df, columns, bits) if cuts is None else cuts
     names = [f"_o{i}" for i in range(len(columns))]
     df = df.withColumns({n: ordinal(df, c) for n, c in zip(names, columns, strict=True)})
-    finite = df.select(*[F.when(F.abs(n) < float("inf"), F.col(n)).alias(n) for n in names])
-    cuts = finite.approxQuantile(names, [k / steps for k in range(1, steps)], ERROR)
     for i, (name, found) in enumerate(zip(names, cuts, strict=True)):
         rank_of = dict(zip(reversed(found), range(len(found), 0, -1), strict=True))  # the first of equal quantiles stays
         edges = sorted(rank_of)
@@ -70,15 +74,22 @@ def interleaved(ranks: Sequence[Column], bits: int = BITS) -> Column:
 def write_interleaved(df: DataFrame, path: str, by: Sequence[str], files: int | None = None, bits: int = BITS) -> None:
     """Files that each cover a small range of every column in ``by``, so that a filter on any of them skips most files.
 
-    One pass for the cuts, one for the rows of each stretch of the curve, one shuffle. A file is a whole cell of a grid that is halved, one column
-    after the other, where it holds over ``SPARE`` times the rows of an even file; so no file straddles two cells, and there are some
+    The columns in ``by`` are stored once, for the cuts and for the rows of each stretch of the curve; then the rows take one pass and one
+    shuffle. A file is a whole cell of a grid that is halved, one column after the other, where it holds over ``SPARE`` times the rows of an even file; so no file straddles two cells, and there are some
     ``files`` of them. A cell that cannot be halved any more, as when one value fills the table, is dealt to several files.
     """
     shared_root(df.sparkSession)
     depth = min(len(by) * bits, DEPTH)
-    placed = ranked(df, by, bits).withColumn("_z", interleaved([F.col(f"_r{i}") for i in range(len(by))], bits))
-    placed = placed.drop(*[f"_r{i}" for i in range(len(by))]).withColumn("_cell", F.shiftright("_z", len(by) * bits - depth).cast("int"))
-    rows = {r._cell: r.n for r in placed.groupBy("_cell").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most 2^DEPTH numbers
+    seen = df.select(*by).checkpoint()
+    cuts = quantile_cuts(seen, by, bits)
+
+    def in_cells(some: DataFrame) -> DataFrame:
+        ranks = [f"_r{i}" for i in range(len(by))]
+        some = ranked(some, by, bits, cuts).withColumn("_z", interleaved([F.col(r) for r in ranks], bits)).drop(*ranks)
+        return some.withColumn("_cell", F.shiftright("_z", len(by) * bits - depth).cast("int"))
+
+    placed = in_cells(df)
+    rows = {r._cell: r.n for r in in_cells(seen).groupBy("_cell").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most 2^DEPTH numbers
     files = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     first, parts, count = leaves([rows.get(c, 0) for c in range(1 << depth)], files)
     cell = F.col("_cell")
