@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.cdc import scd1_apply
 from tidemark.plans import star
 from tidemark.registry import REGISTRY
+from tidemark.registry.base import current
 
 
 def plan(df):
@@ -40,6 +41,11 @@ def test_versions_are_reduced_before_the_shuffle(spark, sf):
     assert text.index("Final") < text.index("hashpartitioning") < text.index("Partial")
 
 
+def test_unread_columns_stay_before_the_shuffle(spark, sf):
+    text = plan(current(spark, sf, "order_items").select("order_id", "price"))
+    assert "xxhash64" in text and "seller_id" not in text[: text.index("hashpartitioning")]
+
+
 @pytest.mark.parametrize("name", ["clean_order_items", "quarantine_order_items", "apply_rules", "bronze_metadata"])
 def test_row_rules_do_not_shuffle(spark, sf, name):
     text = plan(REGISTRY[name].build(spark, sf))
