@@ -128,3 +128,23 @@ def test_feed_as_a_stream(table, tmp_path):
 def test_reading_nothing(table):
     with pytest.raises(ValueError):
         table.read()
+
+
+def test_reduced_rows_are_written_without_comparing_them(table, monkeypatch):
+    merge(table, (1, 1, "I", "a"), (1, 2, "U", "b"))
+    with monkeypatch.context() as patched:
+        patched.setattr("tidemark.sources.keyed.latest_by_key", lambda *_: pytest.fail("reduced"))
+        merge(table, (1, 1, "U", "late"), (2, 3, "I", "c"), (None, 4, "I", "no key"), reduced=True)
+    assert as_set(table.read(), "k", "v") == {(1, "b"), (2, "c")}
+    assert [f.name for f in table.read_all().schema["_order"].dataType] == ["sequence", "deleted", "digest"]
+
+
+def test_a_version_can_be_read_while_its_folders_are_there(table):
+    assert not table.can_read(0) and not table.can_read(1)
+    for k in range(3):
+        merge(table, (k, 1, "I", "a"))
+    assert table.can_read(1) and table.can_read(3) and not table.can_read(4)
+    table.compact(version=2)
+    assert table.can_read(3) and not table.can_read(1)
+    table.clean()
+    assert table.can_read(2) and not table.can_read(1)

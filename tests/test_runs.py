@@ -1,5 +1,6 @@
 """The acceptance scenarios, run through landing, bronze, silver and gold."""
 
+from collections import Counter
 from datetime import date, datetime
 
 import pytest
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from tests.helpers import as_set, item, order, rows, ts
 from tidemark.entities import ENTITIES
 from tidemark.plans.medallion import Warehouse, build_star
+from tidemark.sources.folders import remove
 from tidemark.sources.landing import added_columns, read_landing, write_landing
 from tidemark.streaming import runs
 
@@ -179,3 +181,49 @@ def test_published_tables_are_clustered(spark, house, tmp_path):
     house.publish(str(tmp_path / "gold"))
     for name, df in house.star().items():
         assert spark.read.parquet(str(tmp_path / "gold" / name)).count() == df.count()
+
+
+BOUGHT = ("orders", "order_items")
+
+
+def written(house, name):
+    """How often each order's rows were written to a gold table."""
+    folders = house.gold_table(name)._changes().values()
+    return Counter(r[0] for f in folders for r in house.spark.read.parquet(f).select("order_id").collect())
+
+
+def test_a_new_row_with_a_new_parent_is_staged_once(spark, tmp_path):
+    landing, house = str(tmp_path / "landing"), Warehouse(spark, str(tmp_path / "house"))
+    land(spark, landing, orders=[order("o1")], order_items=[item("o1"), item("o9")])
+    house.run(landing, NOW, BOUGHT, upkeep=None)
+    moved = order("o1", "U", "2018-08-06 10:00:00", bought="2018-08-02 09:00:00")
+    land(spark, landing, orders=[moved, order("o2"), order("o9")], order_items=[item("o2"), item("o1", op="U", at="2018-08-01 10:00:00", price=99.0)])
+    house.run(landing, NOW, BOUGHT, upkeep=None)
+    assert written(house, "fact_order_items") == {"o1": 3, "o9": 2, "o2": 1}  # o1: at first, for its order, for its own late change
+    facts, orders = house.star()["fact_order_items"], house.star()["dim_order"]
+    assert as_set(facts, "order_id", "price") == {("o1", 10.0), ("o2", 10.0), ("o9", 10.0)}
+    assert facts.join(orders, ["order_id", "order_sk", "purchase_date_sk"]).count() == 3
+
+
+def test_what_gold_was_given_may_be_unknown(spark, tmp_path):
+    """Without a note of what gold has seen, or after a rollback, all rows whose parent changed are staged."""
+    landing, house = str(tmp_path / "landing"), Warehouse(spark, str(tmp_path / "house"))
+    land(spark, landing, order_items=[item("o1")])
+    house.run(landing, NOW, ("order_items",), upkeep=None)
+    house.silver_table("order_items").rollback(1)
+    assert house._seen("fact_order_items").count() == 1
+    remove(spark, house._checkpoint("seen-fact_order_items"))
+    land(spark, landing, orders=[order("o1")])
+    house.run(landing, NOW, BOUGHT, upkeep=None)
+    assert house.star()["fact_order_items"].filter("order_sk is not null").count() == 1
+
+
+def test_several_merges_in_one_micro_batch_are_reduced(spark, tmp_path):
+    landing, house = str(tmp_path / "landing"), Warehouse(spark, str(tmp_path / "house"))
+    for at, price in (("2018-08-05 10:00:00", 1.0), ("2018-08-06 10:00:00", 2.0)):
+        land(spark, landing, order_items=[item("o1", price=price, at=at)])
+        house.run_bronze(landing, NOW, {"order_items": ()})
+        house.run_silver(NOW, {"order_items": ()})
+    house.run_gold(NOW)
+    assert written(house, "fact_order_items") == {"o1": 1}
+    assert as_set(house.star()["fact_order_items"], "price") == {(2.0,)}
