@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.llm.brute import HARD, components, documents, lower
-from tidemark.llm import chat, decontamination, fuzzy_lines, language, licences, packing, tokens, toxicity, words
+from tidemark.llm import chat, decontamination, fuzzy_lines, language, licences, meetings, packing, tokens, toxicity, words
 from tidemark.llm.line_keys import line_keys
 
 
@@ -426,6 +426,67 @@ def test_keys_of_lines_that_differ_in_one_place():
             assert set(keys[: ends[1]]) & set(keys[ends[1] :])
 
 
+def some_lines(r, n, least, most):
+    names = [f"{''.join(r.choice('abcdeé日😀') for _ in range(r.randrange(1, 9)))}" for _ in range(400)]
+    return [" ".join(r.choice(names) for _ in range(r.randrange(least, most))) for _ in range(n)]
+
+
+def test_bounds_and_distances_of_many_pairs():
+    r = random.Random(31)
+    xs = ["", "a", "", "ab" * 40, "x" * 64, "x" * 128, *some_lines(r, 500, 0, 70)]
+    ys = ["", "", "b", "ab" * 33, "x" * 65, "y" * 130]
+    for x in xs[6:]:
+        parts = x.split(" ")
+        for _ in range(r.randrange(len(parts) // 3 + 2)):
+            parts[r.randrange(len(parts))] = r.choice(["", "b", "日本", parts[0]])
+        ys.append(" ".join(reversed(parts) if r.random() < 0.1 else parts))
+    want = [fuzzy_lines.edit_distance(x, y) for x, y in zip(xs, ys)]
+    low, high = fuzzy_lines.bounds(xs, ys)
+    assert all(a <= d <= b for a, d, b in zip(low, want, high)) and any(a == d for a, d in zip(low, want) if d)
+    assert fuzzy_lines.distances(*zip(*sorted(zip(xs, ys), key=lambda p: len(p[0])))).tolist() == [
+        d for _, d in sorted(zip(map(len, xs), want), key=lambda p: p[0])
+    ]
+    assert fuzzy_lines.close_pairs(xs, ys).tolist() == [fuzzy_lines.close(x, y) for x, y in zip(xs, ys)]
+
+
+@pytest.mark.parametrize("common", [3, meetings.COMMON])
+def test_lines_that_share_a_key_meet(common, monkeypatch):
+    monkeypatch.setattr(meetings, "PACKED", 5000)
+    r = random.Random(5)
+    lines = [x for x in dict.fromkeys(some_lines(r, 300, 1, 20)) if x]
+    lines += [f"{x} {r.choice('abc')}" for x in lines[:200] for _ in range(r.randrange(4))]
+    names = {x: hashlib.md5(x.encode()).digest() for x in lines}
+    want, rows, size = defaultdict(set), defaultdict(list), 0
+    for x in lines:
+        for k in line_keys([x])[0]:
+            want[k].add(int.from_bytes(names[x][:8], "big") >> 64 - meetings.MARK_BITS)
+    # Two tasks that share lines, of several packs each.
+    for task in (lines[: len(lines) * 2 // 3], lines[len(lines) // 3 :]):
+        blocks = [(task[k : k + 50], [names[x] for x in task[k : k + 50]]) for k in range(0, len(task), 50)]
+        for batch in meetings.packed(blocks, common):
+            for row in batch.to_pylist():
+                rows[row["part"]].append(row)
+                size += len(row["keys"]) + len(row["marks"])
+    schema = pa.schema([("part", pa.int32()), ("known", pa.bool_()), ("keys", pa.binary()), ("marks", pa.binary())])
+    got = defaultdict(set)
+    for some in rows.values():
+        for row in meetings._met(pa.Table.from_pylist(some, schema)).to_pylist():
+            got[row["bucket"]].add(row["mark"])
+    assert {frozenset(x) for x in got.values()} == {frozenset(x) for x in want.values() if len(x) > 1}
+    if common == meetings.COMMON:  # nine bytes a key
+        assert size <= 9 * 4 / 3 * sum(map(len, (line_keys([x])[0] for x in lines))) + 1000
+
+
+def test_empty_bins_are_no_key():
+    r = random.Random(8)
+    lines = ["".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randrange(64, 72))) for _ in range(2000)]
+    assert max(Counter(line_keys(lines)[0].tolist()).values()) < 10
+
+
+def test_lines_are_stored_without_keys(spark):
+    assert "keys" not in fuzzy_lines.lines_of(documents(spark, [(1, "a line")])).columns
+
+
 def test_lines_of_hard_rows(spark):
     got = Counter((r.doc_id, r.n_lines, r.n_dropped) for r in fuzzy_lines.line_report(documents(spark, HARD)).collect())
     assert got[(8, 1, 0)] == 2 and got[(3, 2, 0)] == 1 and got[(None, 1, 0)] == 2 and sum(got.values()) == len(HARD)
