@@ -2,11 +2,13 @@
 
 import glob
 import os
+import time
 
 from pyspark.sql import types as T
 
 from tidemark.plans.medallion import Tables, store_star
 from tidemark.registry.sketched import exact_counts
+from tidemark.sources import testbed
 from tidemark.streaming.ledger import Ledger
 
 
@@ -30,3 +32,24 @@ def test_counts_of_all_levels(spark):
     rows = [(2001, "2001-01", True, "a", "s", None), (2001, "2001-02", False, "a", "t", None), (2002, "2002-01", True, "b", "s", "p")] * 2
     found = {(r.level, r.member): (r.orders, r.sellers, r.products) for r in exact_counts(spark.createDataFrame(rows, kind)).collect()}
     assert found["all", "all"] == (2, 2, 1) and found["year", "2001"] == (1, 2, 0) and found["weekend", "true"] == (2, 1, 1)
+
+
+def test_shuffle_files_go_with_the_job_that_wrote_them(spark, sf, tmp_path):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+    def files():
+        found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {f for f in found.mkString("\n").split("\n") if "/shuffle_" in f}
+
+    before, there = spark.conf.get(name, None), files()
+    spark.conf.unset(name)
+    try:
+        rows = testbed.changes(spark, sf, "orders").groupBy("customer_id").count()
+        rows.write.parquet(str(tmp_path / "rows"))
+        until = time.time() + 20
+        while files() - there and time.time() < until:  # executors are told, not waited for
+            time.sleep(0.2)
+        assert not files() - there
+        assert rows.count() == rows.count() == spark.read.parquet(str(tmp_path / "rows")).count()
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)

@@ -136,6 +136,26 @@ def test_a_small_change_reads_few_files(spark, tmp_path):
     assert re.search(r"PartitionFilters: \[[^\]]*_bucket", plan) and found.count() == 1
 
 
+def test_many_changes_are_dealt_once_and_stored_with_what_they_replace(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("tidemark.streaming.ledger.FEW", 0)  # every micro-batch counts as one of many keys
+    rng, data, measures = random.Random(5), [], live(spark, tmp_path)
+    for step in range(3):
+        part = random_changes(rng, 14, 100 * step)
+        data += part
+        if step == 2:
+            changed = measures._changed(measures._contributions(changes(spark, part)), "b-2")
+            plan = changed._jdf.queryExecution().executedPlan().toString()
+            assert len(re.findall(r"Exchange \w+partitioning", plan)) == 1
+        measures.apply(changes(spark, part), f"b-{step}")
+    assert figures(measures) == expected(data)
+    last, known = {}, {r[0]: r for r in sorted(data[: -len(part)])}
+    for r in sorted(part):
+        last[r[0]] = r
+    replaced = {k: None if k not in known or known[k][2] else known[k][4] for k in last}
+    stored = {r.k: r._before and r._before.sum_v for r in measures.rows.part("b-2").collect()}
+    assert {k: v if v is None else float(v) for k, v in stored.items()} == replaced
+
+
 # -- runs ---------------------------------------------------------------------------------------------------------
 
 
