@@ -74,3 +74,18 @@ def test_keys_of_a_bucket_share_a_call_and_stay_apart(spark, deliver, monkeypatc
     want = {(f"k{i}", -1.0 if i % 4 == 3 else float(i)) for i in range(100) if i % 4 != 2}
     assert as_set(living_rows(spark, deliver.cp, schema), "k", "v") == want
     assert as_set(remembered_deletions(spark, deliver.cp, schema), "k") == {(f"k{i}",) for i in range(100) if i % 4 == 2}
+
+
+def test_states_are_stored_compressed_unless_the_session_says_how(spark):
+    names = (keyed_state.PROVIDER, keyed_state.COMPRESSION)
+    before = [spark.conf.get(n, None) for n in names]
+    with keyed_state.rocksdb(spark):
+        assert [spark.conf.get(n) for n in names] == [keyed_state.ROCKSDB, "zstd"]
+    assert [spark.conf.get(n, None) for n in names] == before
+    spark.conf.set(keyed_state.COMPRESSION, "lz4")
+    try:
+        with keyed_state.rocksdb(spark):
+            assert spark.conf.get(keyed_state.COMPRESSION) == "lz4"
+        assert spark.conf.get(keyed_state.COMPRESSION) == "lz4"
+    finally:
+        spark.conf.unset(keyed_state.COMPRESSION)
